@@ -1,10 +1,12 @@
 """DataFrame -> DataFrame operators."""
 
 from daymark.operators.aggregates import (
+    Hop,
     carry_totals,
     count_by_condition,
     count_distinct_by,
     drop_duplicate_rows,
+    grouped_for_join,
 )
 from daymark.operators.joins import chain, through_bridge, unmatched
 from daymark.operators.ranking import (
@@ -17,6 +19,7 @@ from daymark.operators.ranking import (
 )
 
 __all__ = [
+    "Hop",
     "ascending",
     "best_per_group",
     "carry_totals",
@@ -25,6 +28,7 @@ __all__ = [
     "count_distinct_by",
     "descending",
     "drop_duplicate_rows",
+    "grouped_for_join",
     "rank_at_most",
     "through_bridge",
     "top_n",

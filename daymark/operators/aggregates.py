@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,17 +29,39 @@ def count_by_condition(
     )
 
 
+def grouped_for_join(df: DataFrame, keys: str | Sequence[str], *aggs: Column) -> DataFrame:
+    """One row per key, laid out so that a following join on the keys shuffles it again.
+
+    AQE splits a hot join partition only where both inputs come straight out of a
+    shuffle.  A plain ``groupBy(keys)`` lets the join reuse its partitioning, so a hot key
+    on the *other* side would stay in one task.  Grouping on a hash of the keys as well
+    changes no group but partitions differently; what is shuffled again is grouped rows.
+    """
+    names = [keys] if isinstance(keys, str) else list(keys)
+    spread = df.select("*", F.xxhash64(*names).alias("_spread")).groupBy(*names, "_spread")
+    return (spread.agg(*aggs) if aggs else spread.agg(F.lit(1).alias("_one")).drop("_one")).drop("_spread")
+
+
+class Hop(NamedTuple):
+    """One step of ``carry_totals``: meet ``frame`` on ``key``, go on under ``to``.
+
+    ``to`` is ``key`` again if the frame only has to confirm the key.  ``repeats`` says
+    that a key may have many rows in ``frame`` (a bridge table), a third of all if need
+    be; such a key is then split over tasks.
+    """
+
+    frame: DataFrame
+    key: str
+    to: str
+    repeats: bool = False
+
+
 def carry_totals(
-    facts: DataFrame,
-    totals: str | Sequence[str],
-    hops: Sequence[tuple[DataFrame, str, str]],
-    keep: Sequence[str] = (),
+    facts: DataFrame, totals: str | Sequence[str], hops: Sequence[Hop], keep: Sequence[str] = ()
 ) -> DataFrame:
     """Sum ``totals`` up a chain of inner joins, grouping before each join.
 
-    ``hops`` are ``(frame, key, next)``: facts meet ``frame`` on ``key`` and go on under
-    its column ``next`` (``key`` again if the frame only has to confirm the key).  The
-    result has one row per last ``next`` (and ``keep``).  It
+    The result has one row per value of the last hop's ``to`` (and of ``keep``).  It
     equals joining everything and summing once, fan-out included, because sums split
     freely over rows.  Grouping on the next join key needs the very shuffle the join
     needs, so it costs none of its own; a key that owns a large share of the facts leaves
@@ -47,13 +70,16 @@ def carry_totals(
     names = [totals] if isinstance(totals, str) else list(totals)
     extra = list(keep)
     types = {f.name: f.dataType for f in facts.agg(*[F.sum(n).alias(n) for n in names]).schema}
+    sums = [F.sum(n).alias(n) for n in names]
     out = facts
-    for frame, key, following in hops:
-        grouped = out.groupBy(key, *extra).agg(*[F.sum(n).alias(n) for n in names])
-        out = grouped.join(frame.select(*dict.fromkeys([key, following])), key).select(following, *extra, *names)
-    last = hops[-1][2]
+    for hop in hops:
+        keys = [hop.key, *extra]
+        grouped = grouped_for_join(out, keys, *sums) if hop.repeats else out.groupBy(*keys).agg(*sums)
+        steps = hop.frame.select(*dict.fromkeys([hop.key, hop.to]))
+        out = grouped.join(steps, hop.key).select(hop.to, *extra, *names)
     # Decimal sums widen at each hop; the result has the type of a single sum.
-    return out.groupBy(last, *extra).agg(*[F.sum(n).cast(types[n]).alias(n) for n in names])
+    final = [F.sum(n).cast(types[n]).alias(n) for n in names]
+    return out.groupBy(hops[-1].to, *extra).agg(*final)
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:

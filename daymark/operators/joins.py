@@ -13,6 +13,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 
+from daymark.operators.aggregates import grouped_for_join
+
 
 def _names(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -33,9 +35,9 @@ def through_bridge(
 def unmatched(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` without a partner in ``right`` (same as LEFT JOIN ... IS NULL).
 
-    The right side is cut to its distinct keys first.  That grouping shuffles on the join
-    keys, so the join reuses its partitioning, and a key repeated in a large share of the
-    right rows leaves each map task once.
+    The right side is cut to its distinct keys, so a key repeated in a large share of the
+    right rows leaves each map task once.  A key that owns a large share of the left rows
+    is split over tasks.
     """
     names = _names(keys)
-    return left.join(right.select(*names).distinct(), names, "left_anti")
+    return left.join(grouped_for_join(right.select(*names), names), names, "left_anti")

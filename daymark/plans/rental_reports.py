@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymark.functions import bucket_label, contains_text, starts_with_any_case
-from daymark.operators import carry_totals, chain
+from daymark.operators import Hop, carry_totals, chain, grouped_for_join
 from daymark.plans import report_shapes as shapes
 
 Tables = Mapping[str, DataFrame]
@@ -26,7 +26,7 @@ def films_per_category(t: Tables, nulls: str = "last") -> DataFrame:
     return shapes.items_per_label(
         t["film"],
         t["film_category"],
-        [(t["category"], "category_id", "name")],
+        [Hop(t["category"], "category_id", "name")],
         item="film_id",
         label_as="cat",
         count_as="f_cnt",
@@ -38,10 +38,10 @@ def most_rented_actors(
     t: Tables, n: int = 10, nulls: str = "last", null_as_empty: bool = False
 ) -> DataFrame:
     """``full_name``, ``rent_cnt``: the ten actors with most distinct rentals of their films."""
+    copies = chain(t["inventory"].select("inventory_id", "film_id"), (t["film"].select("film_id"), "film_id"))
     rentals_of_actors = chain(
         t["rental"].select("rental_id", "inventory_id"),
-        (t["inventory"].select("inventory_id", "film_id"), "inventory_id"),
-        (t["film"].select("film_id"), "film_id"),
+        (copies, "inventory_id"),
         (t["film_actor"].select("film_id", "actor_id"), "film_id"),
     )
     counts = shapes.people_by_distinct_events(
@@ -64,11 +64,11 @@ def top_revenue_category(t: Tables, nulls: str = "last") -> DataFrame:
         t["payment"].select("rental_id", "amount"),
         "amount",
         [
-            (t["rental"], "rental_id", "inventory_id"),
-            (t["inventory"], "inventory_id", "film_id"),
-            (t["film"], "film_id", "film_id"),
-            (t["film_category"], "film_id", "category_id"),
-            (t["category"], "category_id", "name"),
+            Hop(t["rental"], "rental_id", "inventory_id"),
+            Hop(t["inventory"], "inventory_id", "film_id"),
+            Hop(t["film"], "film_id", "film_id"),
+            Hop(t["film_category"], "film_id", "category_id", repeats=True),
+            Hop(t["category"], "category_id", "name"),
         ],
         label_as="name",
         total_as="revenue",
@@ -90,12 +90,14 @@ def top_actors_in_category(
 ) -> DataFrame:
     """``full_name``, ``f_cnt``: actors in the top ``k`` ranks by titles in one category."""
     chosen = t["category"].filter(F.col("name") == category).select("category_id")
-    titles_of_actors = chain(
+    titles = chain(
         t["film_category"].select("film_id", "category_id"),
         (chosen, "category_id"),
         (t["film"].select("film_id", "title"), "film_id"),
-        (t["film_actor"].select("film_id", "actor_id"), "film_id"),
     )
+    # Titles are counted distinct, so a film needs to be here once only.
+    listed = grouped_for_join(titles.select("film_id", "title"), ["film_id", "title"])
+    titles_of_actors = chain(t["film_actor"].select("film_id", "actor_id"), (listed, "film_id"))
     counts = shapes.people_by_distinct_events(
         titles_of_actors,
         t["actor"],
@@ -116,7 +118,7 @@ def customers_per_city(t: Tables, nulls: str = "last") -> DataFrame:
         t["customer"].select("customer_id", "active", "address_id"),
         "customer_id",
         {"cnt_active": F.col("active") == 1, "cnt_inactive": F.col("active") == 0},
-        [(t["address"], "address_id", "city_id"), (t["city"], "city_id", "city")],
+        [Hop(t["address"], "address_id", "city_id"), Hop(t["city"], "city_id", "city")],
         label_as="city",
         order_by="cnt_inactive",
         nulls=nulls,
@@ -147,10 +149,10 @@ def busiest_category_per_city_group(t: Tables, nulls: str = "last") -> DataFrame
         spans.select("inventory_id", "city_group", "rent_hours"),
         "rent_hours",
         [
-            (t["inventory"], "inventory_id", "film_id"),
-            (t["film"], "film_id", "film_id"),
-            (t["film_category"], "film_id", "category_id"),
-            (t["category"], "category_id", "name"),
+            Hop(t["inventory"], "inventory_id", "film_id"),
+            Hop(t["film"], "film_id", "film_id"),
+            Hop(t["film_category"], "film_id", "category_id", repeats=True),
+            Hop(t["category"], "category_id", "name"),
         ],
         keep=["city_group"],
     )

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from daymark.functions import full_name, whole_hours
 from daymark.operators import (
+    Hop,
     best_per_group,
     carry_totals,
     count_by_condition,
@@ -27,7 +28,7 @@ from daymark.operators import (
 def items_per_label(
     items: DataFrame,
     links: DataFrame,
-    hops: Sequence[tuple[DataFrame, str, str]],
+    hops: Sequence[Hop],
     item: str,
     label_as: str,
     count_as: str,
@@ -38,10 +39,10 @@ def items_per_label(
     ``links`` joins items to the key of the first hop, and the hops lead from there to the
     label (``carry_totals``).  An item counts once per link.
     """
-    first_key = hops[0][1]
+    first_key = hops[0].key
     linked = links.select(item, first_key).join(items.select(item), item)
     counted = linked.groupBy(first_key).agg(F.count(F.col(item)).alias(count_as))
-    totals = carry_totals(counted, count_as, hops).withColumnRenamed(hops[-1][2], label_as)
+    totals = carry_totals(counted, count_as, hops).withColumnRenamed(hops[-1].to, label_as)
     return totals.select(label_as, count_as).orderBy(descending(count_as, nulls), label_as)
 
 
@@ -75,14 +76,14 @@ def people_in_top_ranks(counts: DataFrame, name: str, count: str, k: int, nulls:
 def highest_total_label(
     facts: DataFrame,
     amount: str,
-    hops: Sequence[tuple[DataFrame, str, str]],
+    hops: Sequence[Hop],
     label_as: str,
     total_as: str,
     nulls: str = "last",
 ) -> DataFrame:
     """The label with the highest total; a fact that leads to several labels counts in each."""
     totals = carry_totals(facts, amount, hops)
-    named = totals.select(F.col(hops[-1][2]).alias(label_as), F.col(amount).alias(total_as))
+    named = totals.select(F.col(hops[-1].to).alias(label_as), F.col(amount).alias(total_as))
     return top_n(named, [descending(total_as, nulls)], 1, tie_break=[label_as])
 
 
@@ -95,14 +96,14 @@ def conditional_counts_per_label(
     facts: DataFrame,
     value: str,
     conditions: dict[str, Column],
-    hops: Sequence[tuple[DataFrame, str, str]],
+    hops: Sequence[Hop],
     label_as: str,
     order_by: str,
     nulls: str = "last",
 ) -> DataFrame:
     """Side-by-side conditional counts per label; labels of no fact are absent."""
-    counted = count_by_condition(facts, hops[0][1], conditions, value)
-    totals = carry_totals(counted, list(conditions), hops).withColumnRenamed(hops[-1][2], label_as)
+    counted = count_by_condition(facts, hops[0].key, conditions, value)
+    totals = carry_totals(counted, list(conditions), hops).withColumnRenamed(hops[-1].to, label_as)
     return totals.select(label_as, *conditions).orderBy(descending(order_by, nulls), label_as)
 
 

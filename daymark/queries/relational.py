@@ -17,6 +17,7 @@ from daymark.functions import (
     whole_hours,
 )
 from daymark.operators import (
+    Hop,
     ascending,
     best_per_group,
     carry_totals,
@@ -25,6 +26,7 @@ from daymark.operators import (
     count_distinct_by,
     descending,
     drop_duplicate_rows,
+    grouped_for_join,
     rank_at_most,
     through_bridge,
     top_n,
@@ -72,7 +74,7 @@ def _lines_per_supplier(spark, sf_dir) -> DataFrame:
 def _since_first(spark, sf_dir) -> DataFrame:
     """Events with the first timestamp of their user."""
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    first = events.groupBy("user_id").agg(F.min("ts").alias("first_ts"))
+    first = grouped_for_join(events, "user_id", F.min("ts").alias("first_ts"))
     return events.join(first, "user_id")
 
 
@@ -99,7 +101,7 @@ def _quantity_per_bucket_and_type(spark, sf_dir) -> DataFrame:
         F.col("p_partkey").alias("l_partkey"), F.struct(_part_bucket().alias("bucket"), "p_type").alias("kind")
     )
     lines = table(spark, sf_dir, "lineitem").select("l_partkey", F.lit(1).cast("bigint").alias("n_lines"))
-    totals = carry_totals(lines, "n_lines", [(parts, "l_partkey", "kind")])
+    totals = carry_totals(lines, "n_lines", [Hop(parts, "l_partkey", "kind")])
     return totals.select("kind.bucket", "kind.p_type", "n_lines")
 
 

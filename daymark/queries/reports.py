@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.functions import bucket_label, contains_text, starts_with_any_case
-from daymark.operators import chain
+from daymark.operators import Hop, chain
 from daymark.plans import report_shapes as shapes
 from daymark.queries.inputs import table
 
@@ -33,8 +33,8 @@ def rep_count_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part"),
         _lines(spark, sf_dir, p_partkey="l_partkey", s_suppkey="l_suppkey"),
         [
-            (table(spark, sf_dir, "supplier"), "s_suppkey", "s_nationkey"),
-            (_nation(spark, sf_dir, "s_nationkey"), "s_nationkey", "n_name"),
+            Hop(table(spark, sf_dir, "supplier"), "s_suppkey", "s_nationkey"),
+            Hop(_nation(spark, sf_dir, "s_nationkey"), "s_nationkey", "n_name"),
         ],
         item="p_partkey",
         label_as="cat",
@@ -70,10 +70,10 @@ def rep_top1_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
         payments,
         "amount",
         [
-            (table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey"),
-            (customer, "o_custkey", "c_nationkey"),
-            (_nation(spark, sf_dir, "c_nationkey", "n_regionkey"), "c_nationkey", "n_regionkey"),
-            (region, "n_regionkey", "r_name"),
+            Hop(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey"),
+            Hop(customer, "o_custkey", "c_nationkey"),
+            Hop(_nation(spark, sf_dir, "c_nationkey", "n_regionkey"), "c_nationkey", "n_regionkey"),
+            Hop(region, "n_regionkey", "r_name"),
         ],
         label_as="name",
         total_as="revenue",
@@ -116,8 +116,8 @@ def rep_active_inactive(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_orderkey",
         {"cnt_active": status == "F", "cnt_inactive": status == "O"},
         [
-            (customer, "o_custkey", "c_nationkey"),
-            (_nation(spark, sf_dir, "c_nationkey"), "c_nationkey", "n_name"),
+            Hop(customer, "o_custkey", "c_nationkey"),
+            Hop(_nation(spark, sf_dir, "c_nationkey"), "c_nationkey", "n_name"),
         ],
         label_as="city",
         order_by="cnt_inactive",
