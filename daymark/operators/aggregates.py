@@ -8,6 +8,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from daymark.operators.sizes import fits_broadcast
+
 
 def count_distinct_by(df: DataFrame, keys: str | Sequence[str], value: str, as_: str) -> DataFrame:
     """Exact ``COUNT(DISTINCT value)`` per group.
@@ -59,13 +61,14 @@ class Hop(NamedTuple):
 def carry_totals(
     facts: DataFrame, totals: str | Sequence[str], hops: Sequence[Hop], keep: Sequence[str] = ()
 ) -> DataFrame:
-    """Sum ``totals`` up a chain of inner joins, grouping before each join.
+    """Sum ``totals`` up a chain of inner joins, grouping before each shuffled join.
 
     The result has one row per value of the last hop's ``to`` (and of ``keep``).  It
     equals joining everything and summing once, fan-out included, because sums split
     freely over rows.  Grouping on the next join key needs the very shuffle the join
     needs, so it costs none of its own; a key that owns a large share of the facts leaves
-    each map task as one row, and every later hop carries only groups.
+    each map task as one row, and every later hop carries only groups.  A frame small
+    enough to be broadcast is joined as it is: that join shuffles nothing.
     """
     names = [totals] if isinstance(totals, str) else list(totals)
     extra = list(keep)
@@ -74,9 +77,10 @@ def carry_totals(
     out = facts
     for hop in hops:
         keys = [hop.key, *extra]
-        grouped = grouped_for_join(out, keys, *sums) if hop.repeats else out.groupBy(*keys).agg(*sums)
         steps = hop.frame.select(*dict.fromkeys([hop.key, hop.to]))
-        out = grouped.join(steps, hop.key).select(hop.to, *extra, *names)
+        if not fits_broadcast(steps):
+            out = grouped_for_join(out, keys, *sums) if hop.repeats else out.groupBy(*keys).agg(*sums)
+        out = out.join(steps, hop.key).select(hop.to, *extra, *names)
     # Decimal sums widen at each hop; the result has the type of a single sum.
     final = [F.sum(n).cast(types[n]).alias(n) for n in names]
     return out.groupBy(hops[-1].to, *extra).agg(*final)

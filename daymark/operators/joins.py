@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from daymark.operators.aggregates import grouped_for_join
+from daymark.operators.sizes import fits_broadcast
 
 
 def _names(keys: str | Sequence[str]) -> list[str]:
@@ -35,9 +36,12 @@ def through_bridge(
 def unmatched(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
     """Rows of ``left`` without a partner in ``right`` (same as LEFT JOIN ... IS NULL).
 
-    The right side is cut to its distinct keys, so a key repeated in a large share of the
-    right rows leaves each map task once.  A key that owns a large share of the left rows
-    is split over tasks.
+    A right side that must be shuffled is cut to its distinct keys first, so a key
+    repeated in a large share of the right rows leaves each map task once.  A key that
+    owns a large share of the left rows is split over tasks.
     """
     names = _names(keys)
-    return left.join(grouped_for_join(right.select(*names), names), names, "left_anti")
+    present = right.select(*names)
+    if not fits_broadcast(present):
+        present = grouped_for_join(present, names)
+    return left.join(present, names, "left_anti")

@@ -1,8 +1,8 @@
 """Sorting, top-n and ranking.
 
 ``rank()`` over a whole result is a window without partitions and runs in one task.  Here
-ranks come from a histogram of the ranked column instead: the window sees one row per
-distinct value, ties stay where they are, and the rank is joined back.
+the window sees values of the ranked column, not rows: rows that tie stay where they are
+and the rank is joined back to them.
 """
 
 from __future__ import annotations
@@ -34,17 +34,6 @@ def top_n(df: DataFrame, order: Sequence[Column], n: int, tie_break: Sequence[st
     return df.orderBy(*order, *[F.col(c).asc() for c in tie_break]).limit(n)
 
 
-def _ranked_values(values: DataFrame, partition: list[str], metric: str, nulls: str, as_: str) -> DataFrame:
-    """RANK of each distinct value from (partition, metric, _n) rows."""
-    w = (
-        Window.partitionBy(*partition)
-        .orderBy(descending(metric, nulls))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ahead = F.coalesce(F.sum("_n").over(w), F.lit(0).cast("bigint"))
-    return values.select(*partition, metric, (ahead + 1).alias(as_))
-
-
 def _attach(df: DataFrame, ranks: DataFrame, keys: list[str], as_: str) -> DataFrame:
     """Join ranks back; NULL metrics and NULL partitions match each other."""
     right = ranks.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col(as_))
@@ -60,10 +49,12 @@ def with_rank(df: DataFrame, metric: str, as_: str = "r", nulls: str = "last") -
 
     For a count metric: groups with distinct counts 1, 2, ... v need v(v+1)/2 input rows,
     so n rows give at most sqrt(2n) distinct values, about a million for 10^12 rows.  The
-    one-task window sees only those, never the rows.
+    one-task window sees only those, with their number of rows, never the rows.
     """
     values = df.groupBy(metric).agg(F.count(F.lit(1)).alias("_n"))
-    return _attach(df, _ranked_values(values, [], metric, nulls, as_), [metric], as_)
+    w = Window.orderBy(descending(metric, nulls)).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum("_n").over(w), F.lit(0).cast("bigint"))
+    return _attach(df, values.select(metric, (ahead + 1).alias(as_)), [metric], as_)
 
 
 def rank_at_most(
@@ -76,21 +67,21 @@ def rank_at_most(
 ) -> DataFrame:
     """Rows whose descending RANK by ``metric`` is at most ``k``, all ties included.
 
-    A rank of at most ``k`` can only belong to one of the ``k`` highest distinct values, so
-    the window runs on at most ``k`` values (per partition) with their row counts.  Any
+    Only the metrics of the first ``k`` rows (per partition) can have such a rank, and the
+    rows ahead of them are all among those ``k``.  So the window runs on ``k`` rows, and
+    the ranks it gives their values are joined back to all rows with these values.  Any
     number of rows may tie; they are never brought into one task.
     """
     parts = [partition] if isinstance(partition, str) else list(partition)
-    values = df.groupBy(*parts, metric).agg(F.count(F.lit(1)).alias("_n"))
-    if not parts:
-        highest = values.orderBy(descending(metric, nulls)).limit(k)
-        ranks = _ranked_values(highest, [], metric, nulls, as_).filter(F.col(as_) <= k)
-        # At most k rows by the limit above, whatever the data.
-        return _attach(df, F.broadcast(ranks), [metric], as_)
-    by_value = Window.partitionBy(*parts).orderBy(descending(metric, nulls))
-    highest = values.withColumn("_v", F.row_number().over(by_value)).filter(F.col("_v") <= k)
-    ranks = _ranked_values(highest, parts, metric, nulls, as_).filter(F.col(as_) <= k)
-    return _attach(df, ranks, [*parts, metric], as_)
+    order = descending(metric, nulls)
+    w = Window.partitionBy(*parts).orderBy(order)
+    if parts:
+        first = df.select(*parts, metric).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k)
+    else:
+        first = df.select(metric).orderBy(order).limit(k)
+    ranks = first.select(*parts, metric, F.rank().over(w).cast("bigint").alias(as_)).distinct()
+    # Without partitions these are at most k rows by the limit above, whatever the data.
+    return _attach(df, ranks if parts else F.broadcast(ranks), [*parts, metric], as_)
 
 
 def best_per_group(

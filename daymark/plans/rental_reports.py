@@ -14,13 +14,18 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.functions import bucket_label, contains_text, starts_with_any_case
+from daymark.functions import bucket_label, contains_text, full_name, starts_with_any_case
 from daymark.operators import Hop, carry_totals, chain, grouped_for_join
 from daymark.plans import report_shapes as shapes
 
 Tables = Mapping[str, DataFrame]
 
 
+def _names(t: Tables, null_as_empty: bool) -> DataFrame:
+    name = full_name("first_name", "last_name", null_as_empty)
+    return t["actor"].select("actor_id", name.alias("full_name"))
+
+
 def films_per_category(t: Tables, nulls: str = "last") -> DataFrame:
     """``cat``, ``f_cnt``: films per category, most first."""
     return shapes.items_per_label(
@@ -43,19 +48,9 @@ def most_rented_actors(
         t["rental"].select("rental_id", "inventory_id"),
         (copies, "inventory_id"),
         (t["film_actor"].select("film_id", "actor_id"), "film_id"),
+        (_names(t, null_as_empty), "actor_id"),
     )
-    counts = shapes.people_by_distinct_events(
-        rentals_of_actors,
-        t["actor"],
-        person="actor_id",
-        event="rental_id",
-        first="first_name",
-        last="last_name",
-        name_as="full_name",
-        count_as="rent_cnt",
-        null_as_empty=null_as_empty,
-    )
-    return shapes.busiest_people(counts, "full_name", "rent_cnt", n, nulls)
+    return shapes.busiest_people(rentals_of_actors, "full_name", "rental_id", "rent_cnt", n, nulls)
 
 
 def top_revenue_category(t: Tables, nulls: str = "last") -> DataFrame:
@@ -97,19 +92,12 @@ def top_actors_in_category(
     )
     # Titles are counted distinct, so a film needs to be here once only.
     listed = grouped_for_join(titles.select("film_id", "title"), ["film_id", "title"])
-    titles_of_actors = chain(t["film_actor"].select("film_id", "actor_id"), (listed, "film_id"))
-    counts = shapes.people_by_distinct_events(
-        titles_of_actors,
-        t["actor"],
-        person="actor_id",
-        event="title",
-        first="first_name",
-        last="last_name",
-        name_as="full_name",
-        count_as="f_cnt",
-        null_as_empty=null_as_empty,
+    titles_of_actors = chain(
+        t["film_actor"].select("film_id", "actor_id"),
+        (listed, "film_id"),
+        (_names(t, null_as_empty), "actor_id"),
     )
-    return shapes.people_in_top_ranks(counts, "full_name", "f_cnt", k, nulls)
+    return shapes.people_in_top_ranks(titles_of_actors, "full_name", "title", "f_cnt", k, nulls)
 
 
 def customers_per_city(t: Tables, nulls: str = "last") -> DataFrame:

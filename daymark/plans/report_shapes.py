@@ -11,12 +11,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.functions import full_name, whole_hours
+from daymark.functions import whole_hours
 from daymark.operators import (
     Hop,
     best_per_group,
     carry_totals,
-    count_by_condition,
     count_distinct_by,
     descending,
     rank_at_most,
@@ -41,36 +40,25 @@ def items_per_label(
     """
     first_key = hops[0].key
     linked = links.select(item, first_key).join(items.select(item), item)
-    counted = linked.groupBy(first_key).agg(F.count(F.col(item)).alias(count_as))
-    totals = carry_totals(counted, count_as, hops).withColumnRenamed(hops[-1].to, label_as)
+    ones = linked.select(first_key, F.lit(1).cast("bigint").alias(count_as))
+    totals = carry_totals(ones, count_as, hops).withColumnRenamed(hops[-1].to, label_as)
     return totals.select(label_as, count_as).orderBy(descending(count_as, nulls), label_as)
 
 
-def people_by_distinct_events(
-    taken_part: DataFrame,
-    people: DataFrame,
-    person: str,
-    event: str,
-    first: str,
-    last: str,
-    name_as: str,
-    count_as: str,
-    null_as_empty: bool = False,
+def busiest_people(
+    named: DataFrame, name: str, event: str, count_as: str, n: int, nulls: str = "last"
 ) -> DataFrame:
-    """Distinct events per person *name*; namesakes are one row."""
-    names = people.select(person, full_name(first, last, null_as_empty).alias(name_as))
-    named = taken_part.select(person, event).join(names, person)
-    return count_distinct_by(named, name_as, event, count_as)
-
+    """The ``n`` names with most distinct events; namesakes are one, equal counts in name order."""
+    counts = count_distinct_by(named, name, event, count_as)
+    return top_n(counts, [descending(count_as, nulls)], n, tie_break=[name])
 
-def busiest_people(counts: DataFrame, name: str, count: str, n: int, nulls: str = "last") -> DataFrame:
-    """The ``n`` names with the highest counts; equal counts in name order."""
-    return top_n(counts.select(name, count), [descending(count, nulls)], n, tie_break=[name])
 
-
-def people_in_top_ranks(counts: DataFrame, name: str, count: str, k: int, nulls: str = "last") -> DataFrame:
-    """Names whose count ranks at most ``k``, with all ties."""
-    return rank_at_most(counts, count, k, nulls=nulls).select(name, count)
+def people_in_top_ranks(
+    named: DataFrame, name: str, event: str, count_as: str, k: int, nulls: str = "last"
+) -> DataFrame:
+    """Names whose number of distinct events ranks at most ``k``, with all ties."""
+    counts = count_distinct_by(named, name, event, count_as)
+    return rank_at_most(counts, count_as, k, nulls=nulls).select(name, count_as)
 
 
 def highest_total_label(
@@ -102,8 +90,11 @@ def conditional_counts_per_label(
     nulls: str = "last",
 ) -> DataFrame:
     """Side-by-side conditional counts per label; labels of no fact are absent."""
-    counted = count_by_condition(facts, hops[0].key, conditions, value)
-    totals = carry_totals(counted, list(conditions), hops).withColumnRenamed(hops[-1].to, label_as)
+    hits = [
+        F.when(cond & F.col(value).isNotNull(), 1).otherwise(0).cast("bigint").alias(name)
+        for name, cond in conditions.items()
+    ]
+    totals = carry_totals(facts.select(hops[0].key, *hits), list(conditions), hops).withColumnRenamed(hops[-1].to, label_as)
     return totals.select(label_as, *conditions).orderBy(descending(order_by, nulls), label_as)
 
 
@@ -117,5 +108,4 @@ def busiest_label_per_bucket(
 ) -> DataFrame:
     """Per bucket, the label with the highest hour total; equal totals go to the first label."""
     totals = spans.groupBy(bucket, label).agg(F.sum(hours).alias(hours))
-    best = best_per_group(totals, bucket, [descending(hours, nulls)], tie_break=[label])
-    return best.orderBy(descending(hours, nulls), bucket)
+    return best_per_group(totals, bucket, [descending(hours, nulls)], tie_break=[label])

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.functions import bucket_label, contains_text, starts_with_any_case
+from daymark.functions import bucket_label, contains_text, full_name, starts_with_any_case
 from daymark.operators import Hop, chain
 from daymark.plans import report_shapes as shapes
 from daymark.queries.inputs import table
@@ -23,9 +23,11 @@ def _lines(spark, sf_dir, **columns: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(*[F.col(c).alias(a) for a, c in columns.items()])
 
 
-def _people(spark, sf_dir) -> DataFrame:
+def _by_people(spark, sf_dir, lines: DataFrame, event: str) -> DataFrame:
+    """Lines with the name of their supplier: (full_name, event)."""
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    return supplier.join(_nation(spark, sf_dir, "s_nationkey"), "s_nationkey")
+    named = chain(lines, (supplier, "s_suppkey"), (_nation(spark, sf_dir, "s_nationkey"), "s_nationkey"))
+    return named.select(full_name("s_name", "n_name").alias("full_name"), event)
 
 
 def rep_count_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,17 +49,8 @@ def rep_top10_distinct_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
         _lines(spark, sf_dir, o_orderkey="l_orderkey", s_suppkey="l_suppkey"),
         (table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey"),
     )
-    counts = shapes.people_by_distinct_events(
-        taken_part,
-        _people(spark, sf_dir),
-        person="s_suppkey",
-        event="o_orderkey",
-        first="s_name",
-        last="n_name",
-        name_as="full_name",
-        count_as="rent_cnt",
-    )
-    return shapes.busiest_people(counts, "full_name", "rent_cnt", 10)
+    named = _by_people(spark, sf_dir, taken_part, "o_orderkey")
+    return shapes.busiest_people(named, "full_name", "o_orderkey", "rent_cnt", 10)
 
 
 def rep_top1_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,17 +88,8 @@ def rep_rank3_in_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken_part = chain(
         _lines(spark, sf_dir, p_partkey="l_partkey", s_suppkey="l_suppkey"), (promoted, "p_partkey")
     )
-    counts = shapes.people_by_distinct_events(
-        taken_part,
-        _people(spark, sf_dir),
-        person="s_suppkey",
-        event="p_name",
-        first="s_name",
-        last="n_name",
-        name_as="full_name",
-        count_as="f_cnt",
-    )
-    return shapes.people_in_top_ranks(counts, "full_name", "f_cnt", 3)
+    named = _by_people(spark, sf_dir, taken_part, "p_name")
+    return shapes.people_in_top_ranks(named, "full_name", "p_name", "f_cnt", 3)
 
 
 def rep_active_inactive(spark: SparkSession, sf_dir: str) -> DataFrame:

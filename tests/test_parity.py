@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from daymark.queries.inputs import SCHEMAS, table
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +47,11 @@ def test_parity(spark, duck, sf_dir, name):
     assert expected or name == "rep_never_stocked"
 
 
+def test_declared_schemas_are_those_of_the_files(spark, sf_dir):
+    for name in SCHEMAS:
+        assert table(spark, sf_dir, name).schema == spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+
+
 def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["cat", "f_cnt"]
