@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.plans.snapshot import Database
+from daymark.sinks import overwrite_table
 
 _EMBEDDED_URL = "jdbc:derby:memory:daymark;create=true"
 _EMBEDDED_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -88,7 +89,7 @@ def prefix(label: str, sf_dir: str) -> str:
 
 def fill(db: Database, name: str, df: DataFrame) -> str:
     """Put ``df`` into the database as the source table ``name``."""
-    df.write.jdbc(db.url, name, mode="overwrite", properties=dict(db.properties))
+    overwrite_table(df, db.url, name, db.properties)
     return name
 
 

@@ -92,22 +92,40 @@ def test_load_is_repeatable_and_slices_by_date(spark, db):
     assert rows(discover_tables(spark, db.url, db.properties)) == Counter([("T",)])
 
 
-def test_load_keeps_each_row_once_if_a_task_commits_twice(spark, db, monkeypatch):
+def test_rows_of_a_task_that_commits_twice_are_there_once(spark, db, monkeypatch):
     from daymark.sinks import relational
 
-    write = relational.overwrite_table
+    plain, calls = relational.observed, []
 
-    def commit_some_twice(df, url, table, properties, truncate=False):
-        n = write(df, url, table, properties, truncate)
-        append_table(df.filter(F.spark_partition_id() == 0), url, table, properties)
-        return n
+    def commit_some_twice(df, write):
+        seen = plain(df, write)
+        calls.append(seen["rows"])
+        if len(calls) == 1:
+            again = df.filter(F.spark_partition_id() == 0)
+            again.write.jdbc(db.url, "t_stage", mode="append", properties=dict(db.properties))
+        return seen
 
-    monkeypatch.setattr(relational, "overwrite_table", commit_some_twice)
+    monkeypatch.setattr(relational, "observed", commit_some_twice)
     df = spark.range(0, 40, 1, 4).select((F.col("id") % 10).alias("v"))
     assert load_table(df, db.url, "t", db.properties) == 40
+    assert calls == [40, 40]
     assert rows(read_table(spark, db.url, "t", db.properties)) == rows(df)
 
 
+def test_table_that_stays_wrong_is_reported(spark, db, monkeypatch):
+    from daymark.sinks import relational
+
+    monkeypatch.setattr(relational, "observed", lambda df, write: (write(df), {"rows": 7})[1])
+    with pytest.raises(RuntimeError, match="3 rows after 3 attempts to write 7"):
+        overwrite_table(spark.range(3), db.url, "t", db.properties)
+
+
+def test_direct_append(spark, db):
+    for _ in range(2):
+        assert append_table(spark.range(3), db.url, "t", db.properties, staged=False) == 3
+    assert read_table(spark, db.url, "t", db.properties).count() == 6
+
+
 def test_declared_warehouse_types(spark, db, tmp_path):
     overwrite_table(spark.range(3).selectExpr("id", "'n' AS name"), db.url, "t", db.properties)
     spec = TableSpec("t", column_types="name VARCHAR(40)")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from daymark.operators import Hop, best_per_group, carry_totals, descending, rank_at_most, unmatched, with_rank
 from daymark.plans import rental_reports
 from daymark.queries import QUERIES
+from daymark.queries.inputs import feed
 from daymark.sinks import upsert_dates
 from daymark.sources import read_parquet
 from daymark.sources.feed import on_dates
@@ -70,7 +71,12 @@ def test_dates_prune_directories(spark, tmp_path):
     path = str(tmp_path / "silver")
     upsert_dates(spark.sql("SELECT DATE'2024-01-01' + CAST(id AS INT) AS date, id FROM range(5)"), path)
     plan = initial_plan(on_dates(read_parquet(spark, path), ["2024-01-02"]))
-    assert re.search(r"PartitionFilters: \[.*date#\d+ = 2024-01-02", plan)
+    assert re.search(r"PartitionFilters: \[.*date#\d+ [>=]+ 2024-01-02", plan)
+
+
+def test_dates_of_timestamps_reach_the_scan(spark, sf_dir):
+    plan = initial_plan(on_dates(feed(spark, sf_dir), ["2024-01-02", "2024-01-09"]))
+    assert "GreaterThanOrEqual(ts,2024-01-02T00:00), LessThan(ts,2024-01-10T00:00)" in plan
 
 
 def test_anti_join_is_direct(spark, sf_dir):
