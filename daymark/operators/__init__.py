@@ -5,6 +5,7 @@ from daymark.operators.aggregates import (
     carry_totals,
     count_by_condition,
     count_distinct_by,
+    count_distinct_through,
     drop_duplicate_rows,
     grouped_for_join,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "chain",
     "count_by_condition",
     "count_distinct_by",
+    "count_distinct_through",
     "descending",
     "drop_duplicate_rows",
     "grouped_for_join",

@@ -44,6 +44,31 @@ def grouped_for_join(df: DataFrame, keys: str | Sequence[str], *aggs: Column) ->
     return (spread.agg(*aggs) if aggs else spread.agg(F.lit(1).alias("_one")).drop("_one")).drop("_spread")
 
 
+def count_distinct_through(
+    events: DataFrame, members: DataFrame, group: str, event: str, label: str, as_: str
+) -> DataFrame:
+    """``COUNT(DISTINCT event)`` per label over ``events`` joined to ``members`` on ``group``.
+
+    Written plainly, that join pairs every event of a group with every member of it.  But
+    events that occur in one group only (all of them, where ``event`` is a key) can be
+    counted per group first, and a label has the sum over its groups.  The others, and
+    NULL events, take the plain way, so the result is the same whatever the data.
+    """
+    labels = members.select(group, label).distinct()
+    placed = events.select(event, group).filter(F.col(group).isNotNull())
+    span = placed.groupBy(event).agg(F.min(group).alias("_first"), F.max(group).alias("_last"))
+    in_one = (F.col("_first") == F.col("_last")) & F.col(event).isNotNull()
+    per_group = grouped_for_join(
+        span.filter(in_one).select(F.col("_first").alias(group)), group, F.count(F.lit(1)).alias(as_)
+    )
+    counted = labels.join(per_group, group).groupBy(label).agg(F.sum(as_).alias(as_))
+
+    others = span.filter(~in_one).select(F.col(event).alias("_event"))
+    rest = placed.join(others, F.col(event).eqNullSafe(F.col("_event")), "left_semi")
+    paired = count_distinct_by(rest.join(labels, group), label, event, as_)
+    return counted.unionByName(paired).groupBy(label).agg(F.sum(as_).alias(as_))
+
+
 class Hop(NamedTuple):
     """One step of ``carry_totals``: meet ``frame`` on ``key``, go on under ``to``.
 

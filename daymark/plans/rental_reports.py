@@ -15,7 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymark.functions import bucket_label, contains_text, full_name, starts_with_any_case
-from daymark.operators import Hop, carry_totals, chain, grouped_for_join
+from daymark.operators import (
+    Hop,
+    carry_totals,
+    chain,
+    count_distinct_by,
+    count_distinct_through,
+    grouped_for_join,
+)
 from daymark.plans import report_shapes as shapes
 
 Tables = Mapping[str, DataFrame]
@@ -44,13 +51,10 @@ def most_rented_actors(
 ) -> DataFrame:
     """``full_name``, ``rent_cnt``: the ten actors with most distinct rentals of their films."""
     copies = chain(t["inventory"].select("inventory_id", "film_id"), (t["film"].select("film_id"), "film_id"))
-    rentals_of_actors = chain(
-        t["rental"].select("rental_id", "inventory_id"),
-        (copies, "inventory_id"),
-        (t["film_actor"].select("film_id", "actor_id"), "film_id"),
-        (_names(t, null_as_empty), "actor_id"),
-    )
-    return shapes.busiest_people(rentals_of_actors, "full_name", "rental_id", "rent_cnt", n, nulls)
+    rentals = t["rental"].select("rental_id", "inventory_id").join(copies, "inventory_id")
+    cast = t["film_actor"].select("film_id", "actor_id").join(_names(t, null_as_empty), "actor_id")
+    counts = count_distinct_through(rentals, cast, "film_id", "rental_id", "full_name", "rent_cnt")
+    return shapes.busiest_people(counts, "full_name", "rent_cnt", n, nulls)
 
 
 def top_revenue_category(t: Tables, nulls: str = "last") -> DataFrame:
@@ -97,7 +101,8 @@ def top_actors_in_category(
         (listed, "film_id"),
         (_names(t, null_as_empty), "actor_id"),
     )
-    return shapes.people_in_top_ranks(titles_of_actors, "full_name", "title", "f_cnt", k, nulls)
+    counts = count_distinct_by(titles_of_actors, "full_name", "title", "f_cnt")
+    return shapes.people_in_top_ranks(counts, "full_name", "f_cnt", k, nulls)
 
 
 def customers_per_city(t: Tables, nulls: str = "last") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.functions import bucket_label, contains_text, full_name, starts_with_any_case
-from daymark.operators import Hop, chain
+from daymark.operators import Hop, chain, count_distinct_by
 from daymark.plans import report_shapes as shapes
 from daymark.queries.inputs import table
 
@@ -50,7 +50,8 @@ def rep_top10_distinct_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
         (table(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey"),
     )
     named = _by_people(spark, sf_dir, taken_part, "o_orderkey")
-    return shapes.busiest_people(named, "full_name", "o_orderkey", "rent_cnt", 10)
+    counts = count_distinct_by(named, "full_name", "o_orderkey", "rent_cnt")
+    return shapes.busiest_people(counts, "full_name", "rent_cnt", 10)
 
 
 def rep_top1_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +90,8 @@ def rep_rank3_in_category(spark: SparkSession, sf_dir: str) -> DataFrame:
         _lines(spark, sf_dir, p_partkey="l_partkey", s_suppkey="l_suppkey"), (promoted, "p_partkey")
     )
     named = _by_people(spark, sf_dir, taken_part, "p_name")
-    return shapes.people_in_top_ranks(named, "full_name", "p_name", "f_cnt", 3)
+    counts = count_distinct_by(named, "full_name", "p_name", "f_cnt")
+    return shapes.people_in_top_ranks(counts, "full_name", "f_cnt", 3)
 
 
 def rep_active_inactive(spark: SparkSession, sf_dir: str) -> DataFrame:
