@@ -27,6 +27,10 @@ from daymark.plans import report_shapes as shapes
 
 Tables = Mapping[str, DataFrame]
 
+# The category of the actor report, and the labels of the city groups.
+CATEGORY = "Children"
+STARTS_WITH_A, HAS_HYPHEN, OTHER_CITY = "start_w_A", "contains_-", "T_T"
+
 
 def _names(t: Tables, null_as_empty: bool) -> DataFrame:
     name = full_name("first_name", "last_name", null_as_empty)
@@ -82,7 +86,7 @@ def films_not_in_inventory(t: Tables) -> DataFrame:
 
 def top_actors_in_category(
     t: Tables,
-    category: str = "Children",
+    category: str = CATEGORY,
     k: int = 3,
     nulls: str = "last",
     null_as_empty: bool = False,
@@ -124,10 +128,11 @@ def busiest_category_per_city_group(t: Tables, nulls: str = "last") -> DataFrame
     Groups: cities that start with A or a; other cities with a hyphen.
     """
     in_a, hyphen = starts_with_any_case("city", "a"), contains_text("city", "-")
+    label = bucket_label([(in_a, STARTS_WITH_A), (hyphen, HAS_HYPHEN)], OTHER_CITY)
     groups = (
         t["city"]
         .filter(in_a | hyphen)
-        .select("city_id", bucket_label([(in_a, "start_w_A"), (hyphen, "contains_-")], "T_T").alias("city_group"))
+        .select("city_id", label.alias("city_group"))
     )
     grouped_customers = chain(
         t["customer"].select("customer_id", "address_id"),

@@ -70,12 +70,20 @@ def database(spark: SparkSession) -> Database:
     Without one, a session with one local JVM uses an embedded in-memory database.  That
     is visible in its own process only, so on a cluster the setting is required.
     """
+    found = database_if_any(spark)
+    if found is None:
+        raise RuntimeError("set spark.daymark.jdbc.url: an in-memory database is not shared by executors")
+    return found
+
+
+def database_if_any(spark: SparkSession) -> Database | None:
+    """As ``database``, but None where there is none to use."""
     url = spark.conf.get("spark.daymark.jdbc.url", None)
     if url:
         named = {k: spark.conf.get(f"spark.daymark.jdbc.{k}", None) for k in ("user", "password", "driver")}
         return Database(url, {**_READ_OPTIONS, **{k: v for k, v in named.items() if v}})
     if not is_local(spark):
-        raise RuntimeError("set spark.daymark.jdbc.url: an in-memory database is not shared by executors")
+        return None
     spark._jvm.java.lang.System.setProperty(
         "derby.stream.error.file", f"{tempfile.gettempdir()}/daymark-derby.log"
     )

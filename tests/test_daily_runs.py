@@ -252,6 +252,32 @@ def test_dump_of_all_and_of_a_list(spark, db, shop, tmp_path):
     assert os.path.isdir(f"{root}/orders/year=2024/month=01/day=01")
 
 
+# ---------------------------------------------------------------- sessions without a database
+
+
+def test_runs_end_in_silver_without_a_database(spark, sf_dir, monkeypatch):
+    from daymark.queries import QUERIES, flows, inputs
+
+    expected = {n: rows(QUERIES[n](spark, sf_dir)) for n in ("pipe_snapshot", "pipe_dated_feed")}
+    monkeypatch.setattr(flows, "database_if_any", lambda spark: None)
+    for name, want in expected.items():
+        assert rows(QUERIES[name](spark, sf_dir)) == want
+    monkeypatch.setattr(inputs, "database_if_any", lambda spark: None)
+    with pytest.raises(RuntimeError, match="spark.daymark.jdbc.url"):
+        QUERIES["src_jdbc_table"](spark, sf_dir)
+
+
+def test_named_database_is_used(spark):
+    spark.conf.set("spark.daymark.jdbc.url", "jdbc:x:y")
+    spark.conf.set("spark.daymark.jdbc.user", "someone")
+    try:
+        named = database(spark)
+        assert named.url == "jdbc:x:y" and named.properties["user"] == "someone"
+    finally:
+        spark.conf.unset("spark.daymark.jdbc.url")
+        spark.conf.unset("spark.daymark.jdbc.user")
+
+
 # ---------------------------------------------------------------- scratch
 
 
