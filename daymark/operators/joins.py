@@ -33,15 +33,18 @@ def through_bridge(
     return chain(bridge, (items, item), (others, other))
 
 
-def unmatched(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+def unmatched(
+    left: DataFrame, right: DataFrame, keys: str | Sequence[str], left_unique: bool = False
+) -> DataFrame:
     """Rows of ``left`` without a partner in ``right`` (same as LEFT JOIN ... IS NULL).
 
     A right side that must be shuffled is cut to its distinct keys first, so a key
     repeated in a large share of the right rows leaves each map task once.  A key that
-    owns a large share of the left rows is split over tasks.
+    owns a large share of the left rows is split over tasks; ``left_unique`` says that
+    there is none, which saves shuffling the distinct keys again.
     """
     names = _names(keys)
     present = right.select(*names)
     if not fits_broadcast(present):
-        present = grouped_for_join(present, names)
+        present = present.distinct() if left_unique else grouped_for_join(present, names)
     return left.join(present, names, "left_anti")

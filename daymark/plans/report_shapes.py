@@ -40,8 +40,9 @@ def items_per_label(
     first_key = hops[0].key
     linked = links.select(item, first_key).join(items.select(item), item)
     ones = linked.select(first_key, F.lit(1).cast("bigint").alias(count_as))
-    totals = carry_totals(ones, count_as, hops).withColumnRenamed(hops[-1].to, label_as)
-    return totals.select(label_as, count_as).orderBy(descending(count_as, nulls), label_as)
+    totals = carry_totals(ones, count_as, hops)
+    named = totals.select(F.col(hops[-1].to).alias(label_as), count_as)
+    return named.orderBy(descending(count_as, nulls), label_as)
 
 
 def busiest_people(counts: DataFrame, name: str, count: str, n: int, nulls: str = "last") -> DataFrame:
@@ -69,8 +70,8 @@ def highest_total_label(
 
 
 def titles_without_stock(items: DataFrame, stock: DataFrame, item: str, title: str) -> DataFrame:
-    """Titles of items with no stock row, one per item."""
-    return unmatched(items.select(item, title), stock, item).select(title)
+    """Titles of items with no stock row, one per item (``item`` is the items' key)."""
+    return unmatched(items.select(item, title), stock, item, left_unique=True).select(title)
 
 
 def conditional_counts_per_label(
@@ -87,8 +88,9 @@ def conditional_counts_per_label(
         F.when(cond & F.col(value).isNotNull(), 1).otherwise(0).cast("bigint").alias(name)
         for name, cond in conditions.items()
     ]
-    totals = carry_totals(facts.select(hops[0].key, *hits), list(conditions), hops).withColumnRenamed(hops[-1].to, label_as)
-    return totals.select(label_as, *conditions).orderBy(descending(order_by, nulls), label_as)
+    totals = carry_totals(facts.select(hops[0].key, *hits), list(conditions), hops)
+    named = totals.select(F.col(hops[-1].to).alias(label_as), *conditions)
+    return named.orderBy(descending(order_by, nulls), label_as)
 
 
 def hours_of(spans: DataFrame, end: str, start: str, hours_as: str) -> DataFrame:
