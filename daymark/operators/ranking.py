@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+_BROADCAST_ROWS = 100_000
+
 
 def descending(name: str, nulls: str = "last") -> Column:
     """Descending sort key.  ``nulls="first"`` gives Postgres' order."""
@@ -70,7 +72,9 @@ def rank_at_most(
     Only the metrics of the first ``k`` rows (per partition) can have such a rank, and the
     rows ahead of them are all among those ``k``.  So the window runs on ``k`` rows, and
     the ranks it gives their values are joined back to all rows with these values.  Any
-    number of rows may tie; they are never brought into one task.
+    number of rows may tie; they are never brought into one task.  With partitions, each
+    task keeps ``k`` rows of a partition before the shuffle as long as ``k`` is within
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000).
     """
     parts = [partition] if isinstance(partition, str) else list(partition)
     order = descending(metric, nulls)
@@ -80,8 +84,9 @@ def rank_at_most(
     else:
         first = df.select(metric).orderBy(order).limit(k)
     ranks = first.select(*parts, metric, F.rank().over(w).cast("bigint").alias(as_)).distinct()
-    # Without partitions these are at most k rows by the limit above, whatever the data.
-    return _attach(df, ranks if parts else F.broadcast(ranks), [*parts, metric], as_)
+    if not parts and k <= _BROADCAST_ROWS:
+        ranks = F.broadcast(ranks)  # at most k rows by the limit above, whatever the data
+    return _attach(df, ranks, [*parts, metric], as_)
 
 
 def best_per_group(
