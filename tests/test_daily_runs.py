@@ -284,3 +284,18 @@ def test_named_database_is_used(spark):
 def test_scratch_is_in_the_shared_folder(spark):
     a, b = scratch(spark, "x"), scratch(spark, "x")
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir")) and os.path.isdir(a)
+
+
+def test_cluster_session_needs_the_shared_folder(spark, monkeypatch):
+    from daymark.queries import inputs
+
+    monkeypatch.setattr(inputs, "is_local", lambda spark: False)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    assert scratch(spark, "x").startswith(shared)
+    spark.conf.set("spark.checkpoint.dir", "")
+    try:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch(spark, "x")
+    finally:
+        spark.conf.set("spark.checkpoint.dir", shared)
+    assert inputs.database_if_any(spark) is None
