@@ -286,16 +286,17 @@ def test_scratch_is_in_the_shared_folder(spark):
     assert a != b and a.startswith(spark.conf.get("spark.checkpoint.dir")) and os.path.isdir(a)
 
 
-def test_cluster_session_needs_the_shared_folder(spark, monkeypatch):
-    from daymark.queries import inputs
+def test_cluster_session_needs_shared_folder_and_database():
+    from types import SimpleNamespace
 
-    monkeypatch.setattr(inputs, "is_local", lambda spark: False)
-    shared = spark.conf.get("spark.checkpoint.dir")
-    assert scratch(spark, "x").startswith(shared)
-    spark.conf.set("spark.checkpoint.dir", "")
-    try:
-        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-            scratch(spark, "x")
-    finally:
-        spark.conf.set("spark.checkpoint.dir", shared)
-    assert inputs.database_if_any(spark) is None
+    from daymark.queries.inputs import database_if_any
+
+    bare = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: default),
+        sparkContext=SimpleNamespace(master="spark://host:7077"),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch(bare, "x")
+    assert database_if_any(bare) is None
+    with pytest.raises(RuntimeError, match="spark.daymark.jdbc.url"):
+        database(bare)
