@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.llm.jaccard_join import similar_groups
 from daymark.llm.substring_dedup import remove_repeats
 
 DOCUMENTS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
@@ -22,5 +23,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op2_substring_dedup": op2_substring_dedup}
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = similar_groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+QUERIES = {"op2_substring_dedup": op2_substring_dedup, "op6_jaccard_join": op6_jaccard_join}
 ORACLES: dict[str, str] = {}

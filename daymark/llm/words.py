@@ -173,3 +173,29 @@ def binary_column(data: np.ndarray, begin: np.ndarray, end: np.ndarray, kind: pa
     np.cumsum(lengths, out=offsets[1:])
     body = data[gather(begin, lengths)]
     return pa.Array.from_buffers(kind, len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(body)])
+
+
+def shingle_sets(w: Words, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct shingles of each text, sorted: their hashes, and where each text's begin.
+
+    A text with fewer than ``gram`` words has its whole word sequence as its one shingle.
+    """
+    counts = np.diff(w.first)
+    enough = counts >= gram
+    number = np.where(enough, counts - gram + 1, counts > 0)
+    starts = gather(w.first[:-1], number)
+    lengths = np.repeat(np.where(enough, gram, counts), number)
+    hashes = sequence_hashes(w.hashes(), starts, lengths)
+    owner = np.repeat(np.arange(w.texts), number)
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
+    return hashes[new], np.searchsorted(owner[new], np.arange(w.texts + 1))
+
+
+def sums_by_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums modulo 2**64 of the values of each text."""
+    upto = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values, out=upto[1:])
+    return upto[first[1:]] - upto[first[:-1]]
