@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from daymark.llm.bpe_transducer import build_lexicon, decode_documents, encode_documents
 from daymark.llm.jaccard_join import similar_groups
+from daymark.llm.shared import shared_folder
 from daymark.llm.substring_dedup import remove_repeats
+from daymark.llm.token_files import read_token_files, write_token_files
 
 DOCUMENTS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
 BENCHMARK = "item_id BIGINT, text STRING"
@@ -28,5 +31,28 @@ def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "class_id")
 
 
-QUERIES = {"op2_substring_dedup": op2_substring_dedup, "op6_jaccard_join": op6_jaccard_join}
+def tokenizer(name: str) -> str:
+    """A public tokenizer's file; the same place on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "tokens")
+    manifest = write_token_files(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), 2, folder)
+    found = read_token_files(spark, manifest)
+    n_tokens = (F.octet_length("ids") / 4).cast("long")
+    return found.select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, path = table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")
+    encoded = encode_documents(documents, path, build_lexicon(documents, path))
+    return decode_documents(encoded, path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+QUERIES = {"op2_substring_dedup": op2_substring_dedup, "op3_token_files": op3_token_files, "op6_jaccard_join": op6_jaccard_join, "op9_bpe_transducer": op9_bpe_transducer}
 ORACLES: dict[str, str] = {}
