@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from daymark.llm.bpe_transducer import build_lexicon, decode_documents, encode_documents
 from daymark.llm.jaccard_join import similar_groups
+from daymark.llm.lm_trie import score, train
 from daymark.llm.shared import shared_folder
 from daymark.llm.substring_dedup import remove_repeats
 from daymark.llm.token_files import read_token_files, write_token_files
@@ -26,6 +27,13 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
+    model = train(documents.where(~held_out))
+    return score(documents, model, held_out).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = similar_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", "class_id")
@@ -54,5 +62,5 @@ def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_substring_dedup": op2_substring_dedup, "op3_token_files": op3_token_files, "op6_jaccard_join": op6_jaccard_join, "op9_bpe_transducer": op9_bpe_transducer}
+QUERIES = {"op2_substring_dedup": op2_substring_dedup, "op3_token_files": op3_token_files, "op5_lm_trie": op5_lm_trie, "op6_jaccard_join": op6_jaccard_join, "op9_bpe_transducer": op9_bpe_transducer}
 ORACLES: dict[str, str] = {}

@@ -53,18 +53,11 @@ def write_file(uri: str, data: bytes) -> None:
     from pyarrow.fs import FileSystem
 
     fs, path = FileSystem.from_uri(uri)
+    fs.create_dir(path.rpartition("/")[0], recursive=True)
     with fs.open_output_stream(path) as out:
         out.write(data)
 
 
-def read_file(uri: str) -> bytes:
-    from pyarrow.fs import FileSystem
-
-    fs, path = FileSystem.from_uri(uri)
-    with fs.open_input_file(path) as source:
-        return source.read()
-
-
 _shipped: set[str] = set()
 
 
