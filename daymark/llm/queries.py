@@ -6,8 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.llm.bpe_transducer import build_lexicon, decode_documents, encode_documents
+from daymark.llm.chat_format import format_chats, read_back
+from daymark.llm.decontaminate import find_leaks
 from daymark.llm.jaccard_join import similar_groups
+from daymark.llm.line_dedup import drop_near_lines
 from daymark.llm.lm_trie import score, train
+from daymark.llm.quality_rules import rate_quality
+from daymark.llm.secret_scan import guess_dictionary, scan_secrets
 from daymark.llm.shared import shared_folder
 from daymark.llm.substring_dedup import remove_repeats
 from daymark.llm.token_files import read_token_files, write_token_files
@@ -22,11 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str, schema: str = DOCUMENTS)
     return spark.read.schema(schema).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark", BENCHMARK))
+    return found.select("doc_id", "item_id", "score", "n_words", "n_substituted", "begin", "item_begin")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rated = rate_quality(table(spark, sf_dir, "documents"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return rated.select("doc_id", *base, "base_failed", "kept", F.round("quality", 4).alias("quality"))
+
+
 def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
@@ -54,6 +70,25 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "start", n_tokens.alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_near_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations", CONVERSATIONS)
+    awkward = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", awkward), (-7, 1, "assistant", awkward)], CONVERSATIONS)
+    found = read_back(format_chats(conversations.unionByName(more)))
+    turns = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss = F.array_join("losses", "")
+    return found.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+        F.char_length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"),
+        F.col("formatted_chars").cast("long").alias("formatted_chars"),
+    )
+
+
 def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, path = table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")
     encoded = encode_documents(documents, path, build_lexicon(documents, path))
@@ -62,5 +97,30 @@ def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op2_substring_dedup": op2_substring_dedup, "op3_token_files": op3_token_files, "op5_lm_trie": op5_lm_trie, "op6_jaccard_join": op6_jaccard_join, "op9_bpe_transducer": op9_bpe_transducer}
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = scan_secrets(documents, guess_dictionary(documents))
+
+    def written(spans):
+        return F.array_join(
+            F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+        )
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"] != "guess")
+    return found.select(
+        "doc_id", number("assign"), number("access"), number("hex"), F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_decontaminate, op2_substring_dedup, op3_token_files, op4_quality_rules, op5_lm_trie, op6_jaccard_join,
+        op7_line_dedup, op8_chat_format, op9_bpe_transducer, op10_secret_scan,
+    )
+}
 ORACLES: dict[str, str] = {}
