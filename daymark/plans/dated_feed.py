@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from daymark.plans.snapshot import Database
-from daymark.sinks import append_parquet, land_json_by_date, load_table, observed, upsert_dates
+from daymark.sinks import clear_dates, land_dates, load_table, observed
 from daymark.sources import FEED_SCHEMA, read_landed_feed, read_parquet, reject_empty_records
 from daymark.sources.feed import all_null, on_dates, run_dates
 
@@ -30,9 +30,13 @@ class FeedCounts:
     warehouse: int | None = None
 
 
-def land(feed: DataFrame, bronze: str, dates: str | Sequence[str], date_col: str = "date") -> int:
-    """Land the feed records of the given dates; a date without records lands nothing."""
-    return land_json_by_date(on_dates(feed, dates, date_col), bronze, date_col)
+def land(feed: DataFrame, bronze: str, dates: str | Sequence[str], date_col: str = "date") -> tuple[int, int]:
+    """Land the feed records of the given dates; returns (landed, rejected for want of a date).
+
+    A date without records is empty afterwards, whatever it held before.
+    """
+    wanted = on_dates(feed, dates, date_col).unionByName(feed.filter(F.col(date_col).isNull()))
+    return land_dates(wanted, bronze, dates, date_col)
 
 
 def refine(
@@ -69,7 +73,10 @@ def refine(
         write,
         rows=F.count(F.lit(1)),
         rejected=F.count(F.when(all_null(payload), F.lit(1))),
+        present=F.collect_set(F.when(~all_null(payload), F.col(date_col).cast("string"))),
     )
+    if mode != "append":  # dates left without a row, and dates of rejected records only
+        clear_dates(spark, silver, {d.isoformat() for d in run_dates(dates)} - set(seen["present"]), date_col)
     return seen["rows"] - seen["rejected"], seen["rejected"]
 
 
@@ -109,9 +116,9 @@ def run_dated_feed(
     full_history: bool = False,
 ) -> FeedCounts:
     """Carry the feed of the given dates through the zones; without ``warehouse`` to silver."""
-    landed = land(feed, bronze, dates, date_col)
+    landed, undated = land(feed, bronze, dates, date_col)
     written, rejected = refine(spark, bronze, silver, dates, schema, date_col)
     loaded = None
     if warehouse is not None:
         loaded = load(spark, silver, warehouse, table, dates, date_col, full_history)
-    return FeedCounts(landed, written, rejected, loaded)
+    return FeedCounts(landed, written, rejected + undated, loaded)

@@ -110,4 +110,4 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_dates(feed_rows: DataFrame) -> list[str]:
     """The calendar days of a feed, as run dates; one row per day reaches the driver."""
-    return [r.date.isoformat() for r in feed_rows.select("date").distinct().collect()]
+    return [r.date.isoformat() for r in feed_rows.select("date").distinct().collect() if r.date is not None]

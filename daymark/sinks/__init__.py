@@ -8,8 +8,11 @@ from daymark.sinks.files import (
     snapshot_path,
     upsert_dates,
     write_csv_snapshot,
+    clear_dates,
+    land_dates,
     write_by_day,
     write_by_run_date,
+    write_csv_day,
 )
 from daymark.sinks.relational import append_table, load_table, overwrite_table
 
@@ -23,7 +26,10 @@ __all__ = [
     "overwrite_table",
     "snapshot_path",
     "upsert_dates",
+    "clear_dates",
+    "land_dates",
     "write_by_day",
     "write_by_run_date",
+    "write_csv_day",
     "write_csv_snapshot",
 ]

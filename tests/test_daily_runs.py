@@ -228,6 +228,42 @@ def test_error_body_is_counted_and_kept_out(spark, tmp_path):
     assert rows(read_parquet(spark, silver).select("date", "product_id")) == Counter([(dt.date(2024, 1, 1), 4)])
 
 
+def test_a_rerun_replaces_its_dates(spark, db, tmp_path):
+    bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
+
+    def run(*pairs, dates=(D1, D2)):
+        return run_dated_feed(spark, feed_frame(spark, *pairs), list(dates), bronze, silver, db, "oos")
+
+    def stored():
+        kept = rows(read_parquet(spark, silver).select("date", "product_id"))
+        assert rows(read_table(spark, db.url, "oos", db.properties).select("date", "product_id")) == kept
+        return kept
+
+    day = dt.date.fromisoformat
+    assert run((D1, 1), (D1, 2), (D2, 3)).silver == 3
+    # Day one has no records any more; day three was never run and is not touched.
+    run((D3, 9), dates=(D3,))
+    counts = run((D2, 4))
+    assert (counts.bronze, counts.silver, counts.warehouse) == (1, 1, 1)
+    assert stored() == Counter([(day(D2), 4), (day(D3), 9)])
+    # Day two has only a rejected record.
+    feed = spark.createDataFrame([(day(D2), None)], "date date, product_id int")
+    counts = run_dated_feed(spark, feed, [D1, D2], bronze, silver, db, "oos")
+    assert (counts.bronze, counts.silver, counts.rejected, counts.warehouse) == (1, 0, 1, 0)
+    assert stored() == Counter([(day(D3), 9)])
+
+
+def test_records_without_a_date_are_rejected_and_counted(spark, tmp_path):
+    from daymark.queries.inputs import all_dates
+
+    feed = spark.createDataFrame(
+        [(None, None), (None, 7), (dt.date.fromisoformat(D1), 1)], "date date, product_id int"
+    )
+    assert all_dates(feed) == [D1]
+    counts = run_dated_feed(spark, feed, D1, str(tmp_path / "bronze"), str(tmp_path / "silver"))
+    assert (counts.bronze, counts.silver, counts.rejected) == (1, 1, 2)
+
+
 def test_append_mode_and_full_history_repeat_rows(spark, db, tmp_path):
     bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
     feed = feed_frame(spark, (D1, 1), (D2, 2))
@@ -252,6 +288,35 @@ def test_dump_of_all_and_of_a_list(spark, db, shop, tmp_path):
     assert os.path.isdir(f"{root}/orders/year=2024/month=01/day=01")
 
 
+def test_dump_keeps_tables_apart(spark, db, tmp_path):
+    options = {**db.properties}
+    for name, n in (('"Users"', 3), ('"users"', 5), ('"order"', 2)):
+        spark.range(n).withColumn("year", F.lit(1999)).write.jdbc(db.url, name, properties=options)
+    with pytest.raises(ValueError, match="one path"):
+        dump_all(spark, db, str(tmp_path), D1)
+    # A reserved word as a name, and a column named like a directory level.
+    assert dump_all(spark, db, str(tmp_path), D1, prefix="ord", layout="ymd") == {"er": 2}
+    got = spark.read.csv(f"{tmp_path}/er/year=2024/month=01/day=01", header=True)
+    assert rows(got.select("year")) == Counter({("1999",): 2})
+
+
+def test_layouts_refuse_to_hide_columns(spark, tmp_path):
+    from daymark.sinks import write_by_day, write_by_run_date
+
+    frame = spark.range(2).withColumn("ds", F.lit("x")).withColumn("Year", F.lit(1))
+    with pytest.raises(ValueError, match="ds"):
+        write_by_run_date(frame, str(tmp_path), F.lit(D1))
+    with pytest.raises(ValueError, match="year"):
+        write_by_day(frame, str(tmp_path), F.lit(D1))
+
+
+def test_a_table_listed_twice_is_refused(spark):
+    from daymark.sources import for_each_table
+
+    with pytest.raises(ValueError, match="twice"):
+        for_each_table(["a", "a"], lambda n: n)
+
+
 # ---------------------------------------------------------------- sessions without a database
 
 
