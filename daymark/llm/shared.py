@@ -58,6 +58,12 @@ def write_file(uri: str, data: bytes) -> None:
         out.write(data)
 
 
+def send_files(spark: SparkSession, uris: list[str]) -> None:
+    """Let every machine fetch these files once; tasks find them by name through SparkFiles."""
+    for uri in uris:
+        spark.sparkContext.addFile(uri)
+
+
 _shipped: set[str] = set()
 
 
