@@ -28,34 +28,43 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, least: int = 10, cost
     ``n_words`` and ``n_substituted`` of the overlap, and ``begin`` and ``item_begin`` (word places).
     An overlap counts if it scores ``least``, or three fifths of its item's words if that is less.
     Null and empty texts, items and texts with fewer words than a mask is wide have no seeds and
-    match nothing.  Repeated items are reported once for each distinct item_id; repeated document rows once.
+    match nothing.  item_id names an item (null items are left out); repeated document rows are reported once.
     """
     width = max(max(mask) for mask in MASKS) + 1
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _words("text").alias("item")).where(
-        F.size("item") >= width
-    )
+        (F.size("item") >= width) & F.col("item_id").isNotNull()
+    ).distinct()
     seeds = items.select("item_id", "item", F.explode(F.expr(f"sequence(0, size(item) - {width})")).alias("item_at"))
-    seeds = seeds.select("item_id", "item", "item_at", F.explode(_seeds("item", "item_at")).alias("seed")).dropDuplicates(
-        ["item_id", "seed", "item_at"]
-    )
+    seeds = seeds.select("item_id", "item_at", F.explode(_seeds("item", "item_at")).alias("seed"))
     if seeds.count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
 
-    texts = documents.select(*row_key(documents), F.col("doc_id").cast("long").alias("doc_id"), _words("text").alias("words"))
-    texts = texts.where(F.size("words") >= width)
-    placed = texts.select("*", F.explode(F.expr(f"sequence(0, size(words) - {width})")).alias("at"))
-    hits = placed.select("*", F.explode(_seeds("words", "at")).alias("seed")).join(seeds, "seed")
-
-    # the document along the item: word k of the item falls on word at - item_at + k
-    agree = F.transform("item", lambda word, k: F.coalesce(F.get("words", F.col("at") - F.col("item_at") + k) == word, F.lit(False)))
-    best = _best_run(agree, cost)
-    scored = hits.select(
-        "key", "text_key", "doc_id", "item_id", F.size("item").alias("item_words"),
-        (F.col("at") - F.col("item_at")).alias("shift"), best.alias("run"),
+    texts = documents.select(*row_key(documents), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    worded = texts.select("key", "text_key", _words("text").alias("words")).where(F.size("words") >= width)
+    placed = worded.select("*", F.explode(F.expr(f"sequence(0, size(words) - {width})")).alias("at"))
+    hits = placed.select("key", "text_key", "at", F.explode(_seeds("words", "at")).alias("seed")).join(seeds, "seed")
+    # hits on one diagonal are one candidate; words stay behind until it is clear which texts are needed
+    hits = hits.select("key", "text_key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
+    laid = hits.join(items, "item_id").groupBy("key", "text_key").agg(
+        F.collect_set(F.struct("item_id", "shift", "item")).alias("laid")
     )
-    enough = scored.where(
-        (F.col("run.score") >= least) | (5 * F.col("run.score") >= 3 * F.col("item_words"))
+    tried = texts.dropDuplicates(["key", "text_key"]).join(laid, ["key", "text_key"]).select(
+        "key", "text_key", "doc_id", "laid", _words("text").alias("words")
     )
+
+    def run(one: Column) -> Column:
+        """The document along an item: word k of the item falls on word shift + k."""
+        agree = F.transform(
+            one["item"], lambda word, k: F.coalesce(F.get(F.col("words"), one["shift"] + k) == word, F.lit(False))
+        )
+        return F.struct(
+            one["item_id"].alias("item_id"), one["shift"].alias("shift"), F.size(one["item"]).alias("item_words"),
+            _best_run(agree, cost).alias("run"),
+        )
+
+    scored = tried.select("key", "text_key", "doc_id", F.transform("laid", run).alias("runs"))
+    scored = scored.select("key", "text_key", "doc_id", F.explode("runs").alias("r")).select("key", "text_key", "doc_id", "r.*")
+    enough = scored.where((F.col("run.score") >= least) | (5 * F.col("run.score") >= 3 * F.col("item_words")))
     found = enough.groupBy("key", "text_key", "item_id").agg(
         F.max(F.struct("run.score", (-F.col("shift")).alias("back"), "run.begin", "run.end", "doc_id")).alias("best")
     )
