@@ -7,11 +7,11 @@ import numpy as np
 
 def planes(values: np.ndarray) -> bytes:
     """First all lowest bytes, then all second ones, and so on: high bytes, mostly zero, compress away."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
 def from_planes(blob: memoryview, count: int, kind: type) -> np.ndarray:
-    flat = np.frombuffer(blob, np.uint8, count * np.dtype(kind).itemsize).reshape(-1, count)
+    flat = np.frombuffer(blob, np.uint8, count * np.dtype(kind).itemsize).reshape(np.dtype(kind).itemsize, count)
     return np.ascontiguousarray(flat.T).view(kind).ravel()
 
 

@@ -123,4 +123,36 @@ QUERIES = {
         op7_line_dedup, op8_chat_format, op9_bpe_transducer, op10_secret_scan,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_substring_dedup": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        k AS (
+            SELECT r, a, array_to_string(w[a : a + 34], ' ') AS k
+            FROM (SELECT r, w, unnest(range(1, len(w) - 33)) AS a FROM d WHERE len(w) >= 35)),
+        found AS (SELECT r, a FROM k QUALIFY count(*) OVER (PARTITION BY k) > 1),
+        gone AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(range(a, a + 35)) AS p FROM found)),
+        word AS (SELECT r, unnest(range(1, len(w) + 1)) AS p, unnest(w) AS x FROM d),
+        kept AS (SELECT r, string_agg(x, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (r, p) GROUP BY r),
+        n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (r) LEFT JOIN n USING (r)""",
+    "op8_chat_format": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+        e AS (
+            SELECT *, 17 + length(regexp_replace(role || text, '[\\<>]', 'xx', 'g')) AS n,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, role DESC, text DESC) = 1 AS ends
+            FROM c),
+        f AS (
+            SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS upto FROM e)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+            sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+            CAST(sum(CASE WHEN role = 'assistant' OR ends THEN upto END) AS BIGINT) AS formatted_chars
+        FROM f GROUP BY conv_id""",
+}
