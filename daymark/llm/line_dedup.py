@@ -56,16 +56,15 @@ def drop_near_lines(
         ),
         folder, "distinct",
     )
+    row = F.struct(F.col("first.key").alias("key"), F.col("first.line").alias("line"), _short("first.text_key").alias("short"))
     halves = distinct.where(F.col("n") >= near_words - 1).select(
-        "first", F.explode(F.array_distinct(F.array(*(f"half{i}" for i in range(4))))).alias("half")
+        row.alias("row"), F.explode(F.array_distinct(F.array(*(f"half{i}" for i in range(4))))).alias("half")
     ).where("half is not null")
     shared = staged(halves.groupBy("half").agg(F.count("*").alias("k")).where("k > 1").select("half"), folder, "halves")
-    likely = halves.join(shared, "half").select("first").distinct()
-    by_row = likely.groupBy(F.col("first.key").alias("key"), F.col("first.text_key").alias("text_key")).agg(
-        F.collect_set("first.line").alias("lines")
-    )
+    by_row = halves.join(shared, "half").groupBy("row.key", "row.short").agg(F.collect_set("row.line").alias("lines"))
     candidates = (
-        texts.select("key", "text_key", "text").dropDuplicates(["key", "text_key"]).join(by_row, ["key", "text_key"])
+        texts.select("key", "text_key", "text", _short("text_key").alias("short")).join(by_row, ["key", "short"])
+        .dropDuplicates(["key", "short", "text_key"])
         .select("key", "text_key", F.split("text", "\n").alias("all"), F.explode("lines").alias("line"))
         .select(place.alias("place"), _words(F.get("all", F.col("line"))).alias("words"))
     )
@@ -90,6 +89,11 @@ def drop_near_lines(
     )
 
 
+def _short(text_key: str) -> Column:
+    """Half of a text's hash; with a doc_id it still tells rows apart."""
+    return F.shiftright(F.col(text_key), 32).cast("int")
+
+
 def _words(line: str | Column) -> Column:
     """Hashes of the words of a line."""
     return F.transform(F.filter(F.split(line, _SPACE), lambda word: word != ""), lambda word: F.xxhash64(word))
