@@ -16,7 +16,7 @@ class Memo:
     the other, and how many each has.
     """
 
-    def __init__(self, make: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 300_000):
+    def __init__(self, make: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 1_200_000):
         self.make, self.limit = make, limit
         self._reset()
 
