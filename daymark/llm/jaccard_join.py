@@ -4,7 +4,9 @@ Texts with one and the same shingle set are one *node*; what follows is about di
 
 1. Every node's shingles are put in one global order, rare ones first.  Two sets that are
    similar enough share a shingle among the first ``n - ceil(t n) + 1`` of each (its prefix).
-   Rarity is counted over all documents in a fixed number of hashed counters.
+   Rarity is counted over all documents in hashed counters, about one for every eight shingles
+   and 2**COUNTER_BITS at most, which tasks map into memory.  The counters only order the
+   shingles; where they are too few for a corpus, more candidates are proposed, with the same result.
 2. Prefix shingles meet in shards, as packed arrays.  Of the nodes that share one, each is
    proposed to its length band's hub and to its neighbour in length, not to every other.
    Proposals pass the length and positional filters here and the suffix filter before
@@ -19,31 +21,37 @@ A pair is verified once.  Groups of copies of any size cost links in proportion
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from daymark.llm.components import components
-from daymark.llm.shared import partitions, row_key, shared_folder, ship, staged
+from daymark.llm.packed import from_planes, planes
+from daymark.llm.shared import partitions, row_key, send_files, shared_folder, ship, staged, write_file
 from daymark.llm.words import mix, shingle_sets, signed, split_words, sums_by_text
 
-#: Shingle counters are 2**COUNTER_BITS numbers in SEGMENTS rows; that is what reaches the driver.
-COUNTER_BITS = 18
-SEGMENTS = 16
+#: One-byte shingle counters, at least and at most, as powers of two; they lie in SEGMENTS files.
+COUNTER_BITS = (18, 28)
+SEGMENTS = 32
+#: Hash ranges of the suffix filter, a power of two.
+SUFFIX_PARTS = 128
 _FLUSH = 2_000_000
-_SUFFIX_PARTS = 64
 
 
 def similar_groups(documents: DataFrame, percent: int = 75, gram: int = 5) -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``class_id``, ``component_id`` and the row's ``key``, ``text_key``.
+    """``doc_id``, ``n_shingles``, ``class_id``, ``component_id``, ``component`` and the row's ``key``, ``text_key``.
 
     A-Z count as a-z.  Two rows link where ``100 * |intersection| >= percent * |union|`` of their
     shingle sets; ``class_id`` is the least doc_id with the same set, ``component_id`` the least
-    doc_id reachable by links.  Texts without words have no shingles and link with nothing, not even
+    doc_id reachable by links, and ``component`` a name of the component that needs no ids.  Texts without words have no shingles and link with nothing, not even
     with each other.  Repeated rows are one class.  A null doc_id is never the least where
     there is another.
     """
@@ -52,19 +60,18 @@ def similar_groups(documents: DataFrame, percent: int = 75, gram: int = 5) -> Da
     folder = shared_folder(spark, "jaccard")
     texts = documents.select(*row_key(documents), "doc_id", "text")
 
-    passed = staged(
+    sets = staged(
         texts.mapInArrow(
-            lambda batches: _sets(batches, gram),
-            "key long, text_key long, doc_id long, node long, n long, segment int, counts binary",
+            lambda batches: _sets(batches, gram), "key long, text_key long, doc_id long, node long, n long, parts binary"
         ),
         folder, "sets",
     )
-    sets = passed.where("segment is null").select("key", "text_key", "doc_id", "node", "n")
-    counters = spark.sparkContext.broadcast(_counters(passed.where("segment is not null")))
+    total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    counters = _count_shingles(texts, gram, min(max(int(total // 8).bit_length(), COUNTER_BITS[0]), COUNTER_BITS[1]), folder)
     nodes = staged(
         sets.where("n > 0").groupBy("node").agg(
             F.min(F.struct("key", "text_key")).alias("example"), F.min("doc_id").alias("class_id"),
-            F.first("n").alias("n"),
+            F.first("parts").alias("parts"),
         ),
         folder, "nodes",
     )
@@ -72,27 +79,20 @@ def similar_groups(documents: DataFrame, percent: int = 75, gram: int = 5) -> Da
     shards = partitions(spark)
     met = staged(
         texts.select("text")
-        .mapInArrow(lambda batches: _prefixes(batches, gram, percent, shards, counters.value), "shard int, blob binary")
+        .mapInArrow(lambda batches: _prefixes(batches, gram, percent, shards, counters), "shard int, blob binary")
         .repartitionById(shards, F.col("shard"))
         .mapInArrow(lambda batches: _meet(batches, percent), "kind int, a long, b long, n int, pos int, c long"),
         folder, "met",
     )
     postings = met.where("kind = 0").select(F.col("a").alias("token"), F.col("b").alias("node"), "n", "pos")
-    shared = staged(postings.select("node").distinct(), folder, "shared")
-    wanted = nodes.join(shared, "node", "left_semi").select("node", "n", "example.key", "example.text_key")
-    found = staged(
-        texts.select("key", "text_key", "text").join(wanted, ["key", "text_key"])
-        .select("node", "n", "text").dropDuplicates(["node"]),
-        folder, "texts",
-    )
 
     # each node's likeliest partners first: most need no other
     votes = met.where("kind = 1").groupBy("a", "b").agg(F.sum("c").alias("c"))
     best = Window.partitionBy("a").orderBy(F.desc("c"), "b")
     first = votes.withColumn("place", F.row_number().over(best)).where("place <= 2")
     first = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    tried = _verified(first, found, percent, gram, folder, "links_0")
-    roots = staged(components(tried.where("similar"), folder, "roots_0"), folder, "rooted_0")
+    tried = _verified(first, nodes, texts, percent, gram, folder, "links_0")
+    roots = components(tried.where("similar"), folder, "roots_0")
     left, pairs_left = _open(postings, roots, folder, "open_0")
     turn = 0
     while pairs_left:
@@ -102,10 +102,10 @@ def similar_groups(documents: DataFrame, percent: int = 75, gram: int = 5) -> Da
         pairs = _all_pairs(left, percent) if last else _to_hubs(left, turn, percent)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        new = _verified(pairs, found, percent, gram, folder, f"links_{turn}")
+        new = _verified(pairs, nodes, texts, percent, gram, folder, f"links_{turn}")
         tried = tried.unionByName(new)
         if new.where("similar").take(1):
-            roots = staged(components(tried.where("similar"), folder, f"roots_{turn}"), folder, f"rooted_{turn}")
+            roots = components(tried.where("similar"), folder, f"roots_{turn}")
         if last:
             break
         left, pairs_left = _open(left.select("token", "node", "n", "pos"), roots, folder, f"open_{turn}")
@@ -115,10 +115,10 @@ def similar_groups(documents: DataFrame, percent: int = 75, gram: int = 5) -> Da
     )
     placed = staged(placed, folder, "placed")
     least = staged(placed.groupBy("root").agg(F.min("class_id").alias("component_id")), folder, "least")
-    answer = staged(placed.join(least, "root").select("node", "class_id", "component_id"), folder, "answer")
+    answer = staged(placed.join(least, "root").select("node", "class_id", "component_id", "root"), folder, "answer")
     return sets.join(answer, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce("component_id", "doc_id").alias("component_id"), "key", "text_key",
+        F.coalesce("component_id", "doc_id").alias("component_id"), F.col("root").alias("component"), "key", "text_key",
     )
 
 
@@ -128,61 +128,101 @@ def _node_ids(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return mix(sums_by_text(mix(hashes), first) + mix(sums_by_text(hashes * hashes, first) + sizes))
 
 
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+class Counters(NamedTuple):
+    """The power of two of the counters, and the files of their segments."""
+
+    bits: int
+    files: tuple[tuple[int, str], ...] = ()
+
+    def bucket(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """The count of each shingle, 255 for more."""
+        files = _open_counters(self)
+        bucket = self.bucket(hashes)
+        shift = self.bits - (SEGMENTS - 1).bit_length()
+        segment = bucket >> shift
+        out = np.zeros(len(hashes), np.uint8)
+        for k, file in enumerate(files):
+            rows = np.flatnonzero(segment == k)
+            if file is not None and len(rows):
+                out[rows] = file[bucket[rows] - (k << shift)]
+        return out
+
+
+@lru_cache(maxsize=1)
+def _open_counters(counters: Counters) -> list[np.ndarray | None]:
+    found: list[np.ndarray | None] = [None] * SEGMENTS
+    for segment, name in counters.files:
+        found[segment] = np.memmap(SparkFiles.get(name), np.uint8, "r")
+    return found
 
 
 def _sets(batches: Iterator[pa.RecordBatch], gram: int) -> Iterator[pa.RecordBatch]:
-    """Each text's set, and at the end of the partition its shingle counts."""
-    counts = np.zeros(1 << COUNTER_BITS, np.uint64)
-    names = ["key", "text_key", "doc_id", "node", "n", "segment", "counts"]
+    """Each text's set: its name, size and members by hash range."""
     for batch in batches:
         for w in split_words(batch.column(3), lower=True):
             hashes, first = shingle_sets(w, gram)
-            counts += np.bincount(_bucket(hashes), minlength=len(counts)).astype(np.uint64)
             rows = batch.slice(w.lo, w.texts)
             yield pa.RecordBatch.from_arrays(
                 [
                     *rows.columns[:2], rows.column(2).cast(pa.int64()), pa.array(signed(_node_ids(hashes, first))),
-                    pa.array(np.diff(first)), pa.nulls(w.texts, pa.int32()), pa.nulls(w.texts, pa.binary()),
+                    pa.array(np.diff(first)), pa.array(_parts(hashes, first), pa.binary()),
                 ],
-                names,
+                ["key", "text_key", "doc_id", "node", "n", "parts"],
             )
-    if counts.any():
-        blobs = [part.tobytes() for part in np.split(counts, SEGMENTS)]
-        yield pa.RecordBatch.from_arrays(
-            [*[pa.nulls(SEGMENTS, pa.int64())] * 5, pa.array(np.arange(SEGMENTS, dtype=np.int32)), pa.array(blobs, pa.binary())],
-            names,
-        )
 
 
-def _counters(parts: DataFrame) -> np.ndarray:
-    """The counts of all partitions added up; a fixed number of counters."""
+def _count_shingles(texts: DataFrame, gram: int, bits: int, folder: str) -> Counters:
+    """Count the shingles of all texts by bucket and send the counters to all machines."""
+    counters = Counters(bits)
+    uri = f"{folder}/counters"
+    size = (1 << bits) // SEGMENTS
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for batch in batches:
+            for w in split_words(batch.column(0), lower=True):
+                held.append(counters.bucket(shingle_sets(w, gram)[0]))
+                if sum(map(len, held)) > _FLUSH:
+                    yield packed(held)
+                    held = []
+        if held:
+            yield packed(held)
+
+    def packed(held: list[np.ndarray]) -> pa.RecordBatch:
+        buckets, counts = np.unique(np.concatenate(held), return_counts=True)
+        cuts = np.searchsorted(buckets, np.arange(SEGMENTS + 1) * size)
+        blobs = [
+            planes(np.diff(buckets[x:y], prepend=k * size).astype(np.uint32)) + np.minimum(counts[x:y], 255).astype(np.uint8).tobytes()
+            for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:]))
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(range(SEGMENTS), pa.int32()), pa.array(blobs, pa.binary())], ["segment", "blob"])
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for segment, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
-                counts = np.frombuffer(blob.as_buffer(), np.uint64)
-                sums[segment] = sums[segment] + counts if segment in sums else counts.copy()
-        if sums:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
-                ["segment", "counts"],
-            )
-
-    rows = parts.select("segment", "counts").repartition(SEGMENTS, "segment").mapInArrow(
-        added, "segment int, counts binary"
-    ).collect()
-    out = np.zeros(1 << COUNTER_BITS, np.uint64)
-    size = len(out) // SEGMENTS
-    for row in rows:
-        out[row.segment * size : (row.segment + 1) * size] = np.frombuffer(row.counts, np.uint64)
-    return out
+                blob = memoryview(blob.as_buffer())
+                n = len(blob) // 5
+                place = np.cumsum(from_planes(blob, n, np.uint32), dtype=np.int64)
+                counts = sums.setdefault(segment, np.zeros(size, np.uint8))
+                more = counts[place].astype(np.int64) + np.frombuffer(blob, np.uint8, n, 4 * n)
+                counts[place] = np.minimum(more, 255)
+        names = [f"counters-{uuid.uuid4().hex}.u8" for _ in sums]
+        for name, counts in zip(names, sums.values()):
+            write_file(f"{uri}/{name}", counts.tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(names, pa.string())], ["segment", "name"])
+
+    blobs = texts.select("text").mapInArrow(counted, "segment int, blob binary")
+    made = blobs.repartitionById(SEGMENTS, F.col("segment")).mapInArrow(added, "segment int, name string").collect()
+    send_files(texts.sparkSession, [f"{uri}/{row.name}" for row in made])
+    return counters._replace(files=tuple((row.segment, row.name) for row in made))
 
 
 def _prefixes(
-    batches: Iterator[pa.RecordBatch], gram: int, percent: int, shards: int, counters: np.ndarray
+    batches: Iterator[pa.RecordBatch], gram: int, percent: int, shards: int, counters: Counters
 ) -> Iterator[pa.RecordBatch]:
     """Packed prefix shingles for each shard."""
     held: list[tuple[np.ndarray, ...]] = []
@@ -199,7 +239,7 @@ def _prefixes(
             use[chosen] = True
             mine = use[owner]
             hashes, owner = hashes[mine], owner[mine]
-            order = np.lexsort((hashes, counters[_bucket(hashes)], owner))  # rare first
+            order = np.lexsort((hashes, counters.of(hashes), owner))  # rare first
             hashes, owner = hashes[order], owner[order]
             starts = np.searchsorted(owner, owner, "left")
             pos = np.arange(len(owner)) - starts
@@ -232,32 +272,22 @@ def _packed(held: list[tuple[np.ndarray, ...]], shards: int) -> Iterator[pa.Reco
             b"".join(
                 (
                     head.tobytes(), ids.tobytes(), n[part][at].astype(np.uint32).tobytes(),
-                    _planes(np.diff(token[part], prepend=np.uint64(0))), _planes(index.astype(np.uint32)),
-                    _planes(pos[part].astype(np.uint32)),
+                    planes(np.diff(token[part], prepend=np.uint64(0))), planes(index.astype(np.uint32)),
+                    planes(pos[part].astype(np.uint32)),
                 )
             )
         )
     yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """First all lowest bytes, then all second ones, and so on: high bytes, mostly zero, compress away."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
-
-
-def _from_planes(blob: memoryview, count: int, kind: type) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8, count * np.dtype(kind).itemsize).reshape(-1, count)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
-
-
 def _unpacked(blob: memoryview) -> tuple[np.ndarray, ...]:
     n_ids, count = (int(x) for x in np.frombuffer(blob, np.uint64, 2))
     ids = np.frombuffer(blob, np.uint64, n_ids, 16)
     sizes = np.frombuffer(blob, np.uint32, n_ids, 16 + 8 * n_ids)
     at = 16 + 12 * n_ids
-    token = np.cumsum(_from_planes(blob[at:], count, np.uint64), dtype=np.uint64)
-    index = _from_planes(blob[at + 8 * count :], count, np.uint32)
-    pos = _from_planes(blob[at + 12 * count :], count, np.uint32)
+    token = np.cumsum(from_planes(blob[at:], count, np.uint64), dtype=np.uint64)
+    index = from_planes(blob[at + 8 * count :], count, np.uint32)
+    pos = from_planes(blob[at + 12 * count :], count, np.uint32)
     return token, ids[index], sizes[index].astype(np.int64), pos.astype(np.int64)
 
 
@@ -390,13 +420,40 @@ def _all_pairs(left: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int, gram: int, folder: str, name: str) -> DataFrame:
-    """``a``, ``b``, ``similar`` for each pair, either way round once."""
-    one = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
+def _verified(
+    pairs: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int, gram: int, folder: str, name: str
+) -> DataFrame:
+    """``a``, ``b``, ``similar`` for each pair: the suffix filter, then the intersection of what it leaves."""
+    parts = [nodes.select(F.col("node").alias(x), F.col("parts").alias(f"parts_{x}")) for x in "ab"]
+    counted = pairs.join(parts[0], "a").join(parts[1], "b").select("a", "b", "parts_a", "parts_b")
+    filtered = staged(
+        counted.mapInArrow(lambda batches: _possible(batches, percent), "a long, b long, possible boolean"),
+        folder, f"{name}_filtered",
+    )
+    left = filtered.where("possible").select("a", "b")
+    ends = left.select(F.col("a").alias("node")).unionByName(left.select(F.col("b").alias("node"))).distinct()
+    ends = staged(nodes.join(ends, "node", "left_semi").select("node", "example.key", "example.text_key"), folder, f"{name}_ends")
+    found = staged(
+        texts.select("key", "text_key", "text").join(ends, ["key", "text_key"])
+        .dropDuplicates(["key", "text_key"]).select("node", "text"),
+        folder, f"{name}_texts",
+    )
+    one = found.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    other = found.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    both = left.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
     checked = both.mapInArrow(lambda batches: _intersected(batches, percent, gram), "a long, b long, similar boolean")
-    return staged(checked, folder, name)
+    rest = filtered.where("not possible").select("a", "b", F.lit(False).alias("similar"))
+    return staged(checked.unionByName(rest), folder, name)
+
+
+def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Suffix filter: the members of two sets by hash range bound their intersection from above."""
+    for batch in batches:
+        possible = np.zeros(batch.num_rows, bool)
+        for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+            x, y = _counts(x.as_buffer()), _counts(y.as_buffer())
+            possible[i] = np.minimum(x, y).sum() >= _needed(int(x.sum()), int(y.sum()), percent)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(possible)], ["a", "b", "possible"])
 
 
 def _intersected(batches: Iterator[pa.RecordBatch], percent: int, gram: int) -> Iterator[pa.RecordBatch]:
@@ -406,10 +463,8 @@ def _intersected(batches: Iterator[pa.RecordBatch], percent: int, gram: int) ->
             rows = batch.slice(lo, 256)
             sets = [_list_of_sets(rows.column(k), gram) for k in (2, 3)]
             for i, (x, y) in enumerate(zip(*sets)):
-                needed = int(_needed(len(x), len(y), percent))
-                # suffix filter: members by hash range bound the intersection from above
-                if np.minimum(_parts(x), _parts(y)).sum() >= needed:
-                    similar[lo + i] = len(np.intersect1d(x, y, assume_unique=True)) >= needed
+                common = len(np.intersect1d(x, y, assume_unique=True))
+                similar[lo + i] = common >= _needed(len(x), len(y), percent)
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(similar)], ["a", "b", "similar"])
 
 
@@ -421,5 +476,14 @@ def _list_of_sets(column: pa.Array, gram: int) -> list[np.ndarray]:
     return out
 
 
-def _parts(hashes: np.ndarray) -> np.ndarray:
-    return np.diff(np.searchsorted(hashes, np.arange(_SUFFIX_PARTS, dtype=np.uint64) << np.uint64(58)), append=len(hashes))
+def _parts(hashes: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """How many members of each set fall into each of SUFFIX_PARTS ranges of hashes."""
+    texts = len(first) - 1
+    at = np.repeat(np.arange(texts), np.diff(first)) * SUFFIX_PARTS
+    at += (hashes >> np.uint64(64 - SUFFIX_PARTS.bit_length() + 1)).astype(np.int64)
+    counts = np.bincount(at, minlength=texts * SUFFIX_PARTS).reshape(texts, SUFFIX_PARTS)
+    return [row.astype(np.uint16 if row.max() < 65536 else np.uint32).tobytes() for row in counts]
+
+
+def _counts(blob: pa.Buffer) -> np.ndarray:
+    return np.frombuffer(blob, np.uint16 if blob.size == 2 * SUFFIX_PARTS else np.uint32).astype(np.int64)
