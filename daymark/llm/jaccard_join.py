@@ -8,7 +8,8 @@ Texts with one and the same shingle set are one *node*; what follows is about di
    and 2**COUNTER_BITS at most, which tasks map into memory.  The counters only order the
    shingles; where they are too few for a corpus, more candidates are proposed, with the same result.
 2. Prefix shingles meet in shards, as packed arrays.  Of the nodes that share one, each is
-   proposed to its length band's hub and to its neighbour in length, not to every other.
+   proposed to its length band's hub, the node with the least rare shingles before it, and to
+   its neighbour in length, not to every other.
    Proposals pass the length and positional filters here and the suffix filter before
    their sets are intersected.
 3. Verified links make components.  A shingle whose nodes are by then all in one component
@@ -324,7 +325,7 @@ def _meet(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
     # the neighbour in length, and the hub of the length band
     i = np.flatnonzero(run[1:] == run[:-1]) + 1
     band = _band(n)
-    order = np.lexsort((mix(node), band, run))
+    order = np.lexsort((mix(node), pos, band, run))  # the hub has least rare shingles before this one: a group's original
     head = np.ones(len(order), bool)
     head[1:] = (run[order][1:] != run[order][:-1]) | (band[order][1:] != band[order][:-1])
     hub = np.empty(len(order), np.int64)
@@ -365,15 +366,18 @@ def _needed(n, m, percent: int):
 
 
 def _filters(n, m, pos_n, pos_m, percent: int):
-    """Length filter, and positional filter for a shared shingle at places ``pos_n`` and ``pos_m``."""
+    """Length filter, and positional filter for sets whose first shared shingle is at ``pos_n`` and ``pos_m``.
+
+    Sets that are similar enough pass at their first shared shingle: all the others come after it in both.
+    """
     short, long_ = np.minimum(n, m), np.maximum(n, m)
-    most = np.minimum(pos_n, pos_m) + 1 + np.minimum(n - 1 - pos_n, m - 1 - pos_m)
+    most = np.minimum(n - pos_n, m - pos_m)
     return (100 * short >= percent * long_) & (most >= _needed(n, m, percent))
 
 
 def _sql_filters(percent: int):
     """The same two filters over columns n1, n2, pos1, pos2."""
-    most = F.least("pos1", "pos2") + 1 + F.least(F.expr("n1 - 1 - pos1"), F.expr("n2 - 1 - pos2"))
+    most = F.least(F.expr("n1 - pos1"), F.expr("n2 - pos2"))
     return (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (
         (100 + percent) * most >= percent * (F.col("n1") + F.col("n2"))
     )
