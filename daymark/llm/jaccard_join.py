@@ -44,6 +44,8 @@ COUNTER_BITS = (18, 28)
 SEGMENTS = 32
 #: Hash ranges of the suffix filter, a power of two.
 SUFFIX_PARTS = 128
+#: Turns with drawn hubs after the first proposals; more of them leave fewer pairs for the exact rest.
+HUB_TURNS = 1
 _FLUSH = 2_000_000
 
 
@@ -99,7 +101,7 @@ def similar_groups(documents: DataFrame, percent: int = 75, gram: int = 5) -> Da
     while pairs_left:
         turn += 1
         # hubs first while shingles join many nodes; in the end every pair that is still possible
-        last = turn > 4 or pairs_left <= 8 * left.count()
+        last = turn > HUB_TURNS or pairs_left <= 8 * left.count()
         pairs = _all_pairs(left, percent) if last else _to_hubs(left, turn, percent)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
