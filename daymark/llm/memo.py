@@ -13,38 +13,53 @@ class Memo:
     """Remembers what ``make`` gave for up to ``limit`` distinct spans; beyond that it starts anew.
 
     ``make`` takes ``(data, begin, end)`` of distinct spans and returns their numbers, one after
-    the other, and how many each has.
+    the other, and how many each has.  What is known lies in sorted runs, each at least twice as
+    long as the next, so that a span is moved only a few times however many there are.
     """
 
-    def __init__(self, make: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 1_200_000):
+    def __init__(self, make: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]], limit: int = 2_000_000):
         self.make, self.limit = make, limit
         self._reset()
 
     def _reset(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.starts = self.lengths = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.int32)
+        self.runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # keys, starts in ``flat``, lengths
+        self.flat = np.zeros(1 << 16, np.int32)
+        self.used = 0
 
     def __call__(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of all spans, one after the other, and how many each has."""
         if not len(begin):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         distinct, example, number = unique_spans(data, begin, end)
-        if len(self.keys) > self.limit:
+        if sum(len(run[0]) for run in self.runs) > self.limit:
             self._reset()
-        place = np.searchsorted(self.keys, distinct)
-        known = place < len(self.keys)
-        known[known] = self.keys[place[known]] == distinct[known]
-        new = example[~known]
+        starts, lengths = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
+        new = np.arange(len(distinct))
+        for keys, its_starts, its_lengths in self.runs:
+            place = np.searchsorted(keys, distinct[new])
+            known = place < len(keys)
+            known[known] = keys[place[known]] == distinct[new[known]]
+            starts[new[known]], lengths[new[known]] = its_starts[place[known]], its_lengths[place[known]]
+            new = new[~known]
         if len(new):
-            flat, lengths = self.make(data, begin[new], end[new])
-            keys = np.concatenate([self.keys, distinct[~known]])
-            order = np.argsort(keys)
-            starts = np.cumsum(lengths) - lengths + len(self.flat)
-            self.starts = np.concatenate([self.starts, starts])[order]
-            self.lengths = np.concatenate([self.lengths, lengths])[order]
-            self.flat = np.concatenate([self.flat, flat.astype(np.int32)])
-            self.keys = keys[order]
-        place = np.searchsorted(self.keys, distinct)[number]
-        lengths = self.lengths[place]
-        return self.flat[gather(self.starts[place], lengths)], lengths
+            flat, made = self.make(data, begin[example[new]], end[example[new]])
+            starts[new], lengths[new] = np.cumsum(made) - made + self.used, made
+            self._keep(flat)
+            self._add(distinct[new], starts[new], lengths[new])
+        return self.flat[gather(starts[number], lengths[number])], lengths[number]
+
+    def _keep(self, flat: np.ndarray) -> None:
+        upto = self.used + len(flat)
+        if upto > len(self.flat):
+            grown = np.zeros(max(upto, len(self.flat) * 3 // 2), np.int32)
+            grown[: self.used] = self.flat[: self.used]
+            self.flat = grown
+        self.flat[self.used : upto] = flat
+        self.used = upto
+
+    def _add(self, *run: np.ndarray) -> None:
+        while self.runs and len(self.runs[-1][0]) < 2 * len(run[0]):
+            both = [np.concatenate(x) for x in zip(self.runs.pop(), run)]
+            order = np.argsort(both[0], kind="stable")
+            run = tuple(x[order] for x in both)
+        self.runs.append(run)

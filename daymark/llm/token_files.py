@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,9 @@ BLOCK = 4096
 _MAGIC = 0x314B4F544D594144
 _HEADER = 6
 _READ_IDS = 1 << 19
+#: Stands between words that are encoded together: a control character, of one byte in UTF-8.
+_MARK = "\x01"
+_JOINED = 1024
 
 
 def write_token_files(documents: DataFrame, tokenizer_path: str, end_id: int, folder: str) -> list[Row]:
@@ -71,12 +75,10 @@ def read_token_files(spark: SparkSession, manifest: list[Row]) -> DataFrame:
 def _write(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int, folder: str) -> Iterator[pa.RecordBatch]:
     from pyarrow.fs import FileSystem
 
-    memo = None
     out = writer = None
     for batch in batches:
-        if memo is None:
-            encode, width = _word_encoder(tokenizer_path)
-            memo = Memo(encode)
+        if writer is None:
+            memo, width = _word_memo(tokenizer_path)
             part = TaskContext.get().partitionId()
             uri = f"{folder}/tokens-{part:05d}-{uuid.uuid4().hex}.bin"
             fs, path = FileSystem.from_uri(uri)
@@ -98,21 +100,39 @@ def _write(batches: Iterator[pa.RecordBatch], tokenizer_path: str, end_id: int,
         )
 
 
+@lru_cache(maxsize=1)
+def _word_memo(path: str) -> tuple[Memo, int]:
+    """What a worker process remembers of the words it encoded, and the width that holds the vocabulary."""
+    encode, width = _word_encoder(path)
+    return Memo(encode), width
+
+
 def _word_encoder(path: str):
-    """Encodes distinct words with the tokenizers library; the width that holds its vocabulary."""
+    """Encodes distinct words with the tokenizers library; the width that holds its vocabulary.
+
+    Words go to the library many at a time, with a mark between each two, where the mark has an id that
+    no other word can have; else one by one.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task on every core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    mark = tokenizer.encode(_MARK, add_special_tokens=False).ids
 
     def encode(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         body = data.tobytes()
         words = [body[b:e].decode() for b, e in zip(begin.tolist(), end.tolist())]
-        lists = [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        return np.fromiter((i for x in lists for i in x), np.int32, int(lengths.sum())), lengths
+        if len(mark) != 1 or _MARK.encode() in body:
+            lists = [x.ids for x in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+            return np.fromiter((i for x in lists for i in x), np.int32, int(lengths.sum())), lengths
+        between = f" {_MARK} "
+        texts = [between.join(words[lo : lo + _JOINED]) + between for lo in range(0, len(words), _JOINED)]
+        ids = np.concatenate([np.array(x.ids, np.int32) for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.flatnonzero(ids == mark[0])
+        return ids[ids != mark[0]], np.diff(ends, prepend=-1) - 1
 
     return encode, max(1, (max(tokenizer.get_vocab(with_added_tokens=True).values())).bit_length())
 
