@@ -8,8 +8,9 @@ Only distinct lines are compared, in three steps:
 
 1. Halves.  With one edit, either the first or the last half of the words is untouched, so
    only lines that share a half with another distinct line can be near one; only these emit variants.
-2. Variants.  Lines with equal variants meet by hash.  Of each group only the earliest matters, so
-   groups are aggregated, never paired: a hot group costs as much as its rows.
+2. Variants.  A line emits those without a word outside the half it shares, and lines with equal variants
+   meet by hash.  Of each group only the earliest matters, so groups are aggregated, never paired: a hot
+   group costs as much as its rows.
 3. Verification.  The words of a line and of the earlier line it met are compared.
 """
 
@@ -57,18 +58,34 @@ def drop_near_lines(
         folder, "distinct",
     )
     row = F.struct(F.col("first.key").alias("key"), F.col("first.line").alias("line"), _short("first.text_key").alias("short"))
+    sides = F.array(*(F.struct(F.col(f"half{i}").alias("half"), F.lit(i % 2).alias("last")) for i in range(4)))
     halves = distinct.where(F.col("n") >= near_words - 1).select(
-        row.alias("row"), F.explode(F.array_distinct(F.array(*(f"half{i}" for i in range(4))))).alias("half")
-    ).where("half is not null")
+        row.alias("row"), F.explode(F.array_distinct(sides)).alias("side")
+    ).select("row", "side.*").where("half is not null")
     shared = staged(halves.groupBy("half").agg(F.count("*").alias("k")).where("k > 1").select("half"), folder, "halves")
-    by_row = halves.join(shared, "half").groupBy("row.key", "row.short").agg(F.collect_set("row.line").alias("lines"))
+    by_row = halves.join(shared, "half").groupBy("row.key", "row.short").agg(
+        F.collect_set(F.when(F.col("last") == 0, F.col("row.line"))).alias("firsts"),
+        F.collect_set(F.when(F.col("last") == 1, F.col("row.line"))).alias("lasts"),
+    )
+
+    def sharing(lines: Column, first: bool, last: bool) -> Column:
+        return F.transform(lines, lambda line: F.struct(line.alias("line"), F.lit(first).alias("first"), F.lit(last).alias("last")))
+
+    by_row = by_row.select(
+        "key", "short",
+        F.concat(
+            sharing(F.array_except("firsts", "lasts"), True, False), sharing(F.array_except("lasts", "firsts"), False, True),
+            sharing(F.array_intersect("firsts", "lasts"), True, True),
+        ).alias("lines"),
+    )
     candidates = (
         texts.select("key", "text_key", "text", _short("text_key").alias("short")).join(by_row, ["key", "short"])
         .dropDuplicates(["key", "short", "text_key"])
-        .select("key", "text_key", F.split("text", "\n").alias("all"), F.explode("lines").alias("line"))
-        .select(place.alias("place"), _words(F.get("all", F.col("line"))).alias("words"))
+        .select("key", "text_key", F.split("text", "\n").alias("all"), F.explode("lines").alias("shared"))
+        .select("key", "text_key", "all", F.col("shared.line").alias("line"), "shared.first", "shared.last")
+        .select(place.alias("place"), "first", "last", _words(F.get("all", F.col("line"))).alias("words"))
     )
-    candidates = staged(candidates.select("place", "words", *_name("words")), folder, "candidates")
+    candidates = staged(candidates.select("place", "first", "last", "words"), folder, "candidates")
     earlier = _earlier_near(candidates, near_words, folder)
 
     gone = distinct.join(earlier, distinct["first"] == earlier["place"], "left").select(
@@ -126,19 +143,27 @@ def _halves(words: str, near_words: int) -> Column:
 def _earlier_near(candidates: DataFrame, near_words: int, folder: str) -> DataFrame:
     """``place`` of every candidate line that has an earlier line one edit away."""
     n = F.size("words")
-    less = F.transform(
-        F.sequence(F.lit(1), n),
+    less = F.floor((n - 1) / 2).cast("int")
+    # where a half is shared, the edit is outside it
+    outs = F.sequence(F.when(F.col("last"), F.lit(1)).otherwise(less + 1), F.when(F.col("first"), n).otherwise(n - less))
+    left_out = F.transform(
+        outs,
         lambda i: F.struct(
             i.alias("out"),
             F.xxhash64(F.concat(F.slice("words", F.lit(1), i - 1), F.slice("words", i + 1, n))).alias("variant"),
         ),
     )
-    variants = candidates.where(n >= near_words).select("place", F.explode(less).alias("v")).select(
+    variants = candidates.where(n >= near_words).select("place", F.explode(left_out).alias("v")).select(
         "place", F.col("v.out").alias("out"), F.col("v.variant").alias("variant")
     )
     variants = staged(variants, folder, "variants")
     selves = candidates.where(n >= near_words - 1).select(F.col("place").alias("whole"), F.xxhash64("words").alias("variant"))
 
+    # most variants meet nothing: hashes alone are counted first, and what is alone goes
+    crowded = variants.select("variant").unionByName(selves.select("variant")).groupBy("variant").agg(F.count("*").alias("k"))
+    crowded = staged(crowded.where("k > 1").select("variant"), folder, "crowded")
+    variants = staged(variants.join(crowded, "variant"), folder, "met_variants")
+
     # replaced: both lines without their word at the same place
     replaced = variants.groupBy("variant", "out").agg(F.min("place").alias("earlier"), F.count("*").alias("k")).where("k > 1")
     replaced = staged(replaced.select("variant", "out", "earlier"), folder, "replaced")
