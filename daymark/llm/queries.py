@@ -46,7 +46,7 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
-    model = train(documents.where(~held_out))
+    model = train(documents.where(~held_out), order=3, least_count=1)
     return score(documents, model, held_out).withColumn("train_tokens", F.lit(model.tokens).cast("long"))
 
 
