@@ -1,8 +1,9 @@
 """Line dedup by a deletion-neighbourhood join, in DataFrame operations only.
 
-Two lines are near if one becomes the other by at most one edit of a word: one put in, left out
-or replaced.  Every line emits the hashes of itself and of all its variants with one word left out;
-near lines share one of these.  A line that has an earlier near line in the corpus goes.
+Two lines are near if one becomes the other by at most one edit of a unit: one put in, left out
+or replaced.  The units are words and, between two lines of few words, characters.  Every line emits the
+hashes of itself and of all its variants with one unit left out; near lines share one of these.  A line
+that has an earlier near line in the corpus goes.  Below, what is said of words holds for either unit.
 
 Only distinct lines are compared, in three steps:
 
@@ -25,15 +26,16 @@ _SPACE = r"[\x20\x09-\x0D]+"
 
 
 def drop_near_lines(
-    documents: DataFrame, least_words: int = 4, near_words: int = 8, carry: tuple[str, ...] = ()
+    documents: DataFrame, least_words: int = 1, near_words: int = 4, carry: tuple[str, ...] = ()
 ) -> DataFrame:
     """All rows of ``documents`` with the lines that an earlier near line makes superfluous removed.
 
     Returns ``key``, ``text_key`` (the row), ``doc_id``, ``n_lines``, ``n_removed``, ``kept`` (the other
     lines, joined by line breaks; null for a null text) and ``carried``, a struct of the columns in ``carry``.  Order is by doc_id (null
-    first) and line.  Lines with fewer than ``least_words`` words always stay; one edit is allowed
-    where the longer line has ``near_words`` words, else lines must have equal words.  White space
-    within lines does not count.  Lines are judged on the input: an earlier line
+    first) and line.  Lines with fewer than ``least_words`` words always stay; one edit of a word is
+    allowed where the longer line has ``near_words`` words, one of a character where both have fewer words and
+    the longer has ``near_words`` characters, else lines must have equal words.  White space
+    within lines counts as one blank.  Lines are judged on the input: an earlier line
     counts even if it goes itself.  Rows with the same doc_id tie: equal lines at the same
     place of them both stay.
     """
@@ -42,34 +44,42 @@ def drop_near_lines(
     carried = F.struct(F.lit(None).alias("none"), *(documents[name] for name in carry)).alias("carried")
     texts = documents.select(*row_key(documents), F.col("doc_id").cast("long").alias("doc_id"), "text", carried)
     placed = texts.select("key", "text_key", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    hashed = placed.select("key", "text_key", "line", _words("content").alias("words"))
+    hashed = placed.select("key", "text_key", "line", _words("content").alias("words"), "content")
     hashed = hashed.withColumn("n", F.size("words")).where(F.col("n") >= least_words)
+    hashed = hashed.withColumn("chars", F.when(F.col("n") < near_words, _chars("content")))
     lines = staged(
-        hashed.select("key", "text_key", "line", "n", *_name("words"), _halves("words", near_words).alias("halves")),
+        hashed.select(
+            "key", "text_key", "line", *_name("words"), _halves("words", near_words).alias("word_halves"),
+            F.when(F.col("n") < near_words, _halves("chars", near_words)).alias("char_halves"),
+        ),
         folder, "lines",
     )
 
     place = F.struct("key", "line", "text_key")
     distinct = staged(
         lines.groupBy("h1", "h2").agg(
-            F.min(place).alias("first"), F.count("*").alias("copies"), F.min("n").alias("n"),
-            *(F.min(F.get("halves", F.lit(i))).alias(f"half{i}") for i in range(4)),
+            F.min(place).alias("first"), F.count("*").alias("copies"),
+            *(F.min(F.get(f"{unit}_halves", F.lit(i))).alias(f"{unit}_half{i}") for unit in ("word", "char") for i in range(4)),
         ),
         folder, "distinct",
     )
     row = F.struct(F.col("first.key").alias("key"), F.col("first.line").alias("line"), _short("first.text_key").alias("short"))
-    sides = F.array(*(F.struct(F.col(f"half{i}").alias("half"), F.lit(i % 2).alias("last")) for i in range(4)))
-    halves = distinct.where(F.col("n") >= near_words - 1).select(
-        row.alias("row"), F.explode(F.array_distinct(sides)).alias("side")
-    ).select("row", "side.*").where("half is not null")
+    sides = F.array(*(
+        F.struct(F.col(f"{unit}_half{i}").alias("half"), F.lit(i % 2).alias("last"), F.lit(unit == "char").alias("chars"))
+        for unit in ("word", "char") for i in range(4)
+    ))
+    halves = distinct.select(
+        row.alias("row"), F.explode(F.array_distinct(F.filter(sides, lambda side: side["half"].isNotNull()))).alias("side")
+    ).select("row", "side.*")
+    line = F.struct(F.col("row.line").alias("line"), "chars")
     shared = staged(halves.groupBy("half").agg(F.count("*").alias("k")).where("k > 1").select("half"), folder, "halves")
     by_row = halves.join(shared, "half").groupBy("row.key", "row.short").agg(
-        F.collect_set(F.when(F.col("last") == 0, F.col("row.line"))).alias("firsts"),
-        F.collect_set(F.when(F.col("last") == 1, F.col("row.line"))).alias("lasts"),
+        F.collect_set(F.when(F.col("last") == 0, line)).alias("firsts"),
+        F.collect_set(F.when(F.col("last") == 1, line)).alias("lasts"),
     )
 
     def sharing(lines: Column, first: bool, last: bool) -> Column:
-        return F.transform(lines, lambda line: F.struct(line.alias("line"), F.lit(first).alias("first"), F.lit(last).alias("last")))
+        return F.transform(lines, lambda x: F.struct(x["line"].alias("line"), x["chars"].alias("chars"), F.lit(first).alias("first"), F.lit(last).alias("last")))
 
     by_row = by_row.select(
         "key", "short",
@@ -82,11 +92,16 @@ def drop_near_lines(
         texts.select("key", "text_key", "text", _short("text_key").alias("short")).join(by_row, ["key", "short"])
         .dropDuplicates(["key", "short", "text_key"])
         .select("key", "text_key", F.split("text", "\n").alias("all"), F.explode("lines").alias("shared"))
-        .select("key", "text_key", "all", F.col("shared.line").alias("line"), "shared.first", "shared.last")
-        .select(place.alias("place"), "first", "last", _words(F.get("all", F.col("line"))).alias("words"))
+        .select("key", "text_key", "shared.*", F.get("all", F.col("shared.line")).alias("content"))
+        .select(
+            F.struct("key", "line", "text_key", "chars").alias("place"), "first", "last",
+            F.when(F.col("chars"), _chars("content")).otherwise(_words("content")).alias("words"),
+        )
     )
     candidates = staged(candidates.select("place", "first", "last", "words"), folder, "candidates")
-    earlier = _earlier_near(candidates, near_words, folder)
+    earlier = _earlier_near(candidates, near_words, folder).select(
+        F.struct("place.key", "place.line", "place.text_key").alias("place")
+    ).distinct()
 
     gone = distinct.join(earlier, distinct["first"] == earlier["place"], "left").select(
         "h1", "h2", F.col("first.key").alias("first_key"), F.col("first.line").alias("first_line"), "copies",
@@ -111,9 +126,19 @@ def _short(text_key: str) -> Column:
     return F.shiftright(F.col(text_key), 32).cast("int")
 
 
-def _words(line: str | Column) -> Column:
+def _words(line: str) -> Column:
     """Hashes of the words of a line."""
-    return F.transform(F.filter(F.split(line, _SPACE), lambda word: word != ""), lambda word: F.xxhash64(word))
+    return F.transform(_split(line), lambda word: F.xxhash64(word))
+
+
+def _chars(line: str) -> Column:
+    """Hashes of the characters of a line's words, one blank between two; never those of words."""
+    joined = F.split(F.array_join(_split(line), " "), "")
+    return F.transform(F.filter(joined, lambda char: char != ""), lambda char: F.xxhash64(F.lit("char"), char))
+
+
+def _split(line: str) -> Column:
+    return F.filter(F.split(line, _SPACE), lambda word: word != "")
 
 
 def _name(words: str) -> list[Column]:
@@ -141,7 +166,7 @@ def _halves(words: str, near_words: int) -> Column:
 
 
 def _earlier_near(candidates: DataFrame, near_words: int, folder: str) -> DataFrame:
-    """``place`` of every candidate line that has an earlier line one edit away."""
+    """``place`` of every candidate line that has an earlier line one edit away; its last field tells the unit."""
     n = F.size("words")
     less = F.floor((n - 1) / 2).cast("int")
     # where a half is shared, the edit is outside it

@@ -6,10 +6,11 @@ from collections import Counter
 import pytest
 
 from daymark.llm import lm_trie
+from daymark.llm.line_dedup import drop_near_lines
 from daymark.llm.queries import QUERIES
 
 from .conftest import WORD
-from .test_operators import _trigrams, by_doc
+from .test_operators import _trigrams, by_doc, sha
 
 
 @pytest.mark.parametrize("shard_rows", [3_000_000, 7_000])
@@ -37,3 +38,48 @@ def test_lm_scores_use_every_trigram(spark, sf_dir, given, monkeypatch, shard_ro
     for i, w in tokens.items():
         want = sum(math.log10(chance(*x)) for x in zip(["none", None, *w], [None, *w], w))
         assert abs(found[i].score - want) < 5e-4 * len(w)  # quantised
+
+
+def near_lines(rows):
+    """Lines removed from each (doc_id, text), in plain Python, and those left."""
+    split = [(i, k, line, tuple(WORD.findall(line))) for i, text in rows for k, line in enumerate(text.split("\n"))]
+    first = {}
+    for i, k, _, w in split:
+        if w:
+            first.setdefault(w, (i, k))
+    near = dict(first)
+    for units in (lambda w: w, lambda w: tuple(" ".join(w)) if len(w) < 4 else ()):
+        whole = {units(w): w for w in first}
+        least = {}
+        cut = {u: [(u[:q] + u[q + 1 :], q) for q in range(len(u))] if len(u) >= 4 else [] for u in whole}
+        for u, w in whole.items():
+            for key in cut[u]:
+                least[key] = min(least.get(key, first[w]), first[w])
+        for u, w in whole.items():
+            for shorter, q in cut[u]:
+                near[w] = min(near[w], least[shorter, q])
+                if other := whole.get(shorter):
+                    near[w], near[other] = min(near[w], first[other]), min(near[other], first[w])
+    out, gone = {i: [] for i, _ in rows}, Counter()
+    for i, k, line, w in split:
+        if w and ((i, k) != first[w] or near[w] < first[w]):
+            gone[i] += 1
+        else:
+            out[i].append(line)
+    return {i: (gone[i], "\n".join(lines)) for i, lines in out.items()}
+
+
+def test_lines_of_every_length(spark, sf_dir, given):
+    found = by_doc(QUERIES["op7_line_dedup"](spark, sf_dir))
+    assert {i: (r.n_removed, r.kept_sha256) for i, r in found.items()} == {i: (n, sha(kept)) for i, (n, kept) in near_lines(given[1]).items()}
+
+
+def test_short_lines_lose_repeats_and_near_ones(spark):
+    texts = [
+        "Les.\nab\n7\nKontakt 🙂\none two three four five six seven\na b c d", "Les.\nac\n7\nKontact 🙂\none two three 4 five six seven\na b c",
+        "Les\n\n \nac\nKontakt  🙂\nb c d\na b e\nx y z\nx yz", "w x y\nd",
+    ]
+    rows = list(enumerate(texts))
+    found = by_doc(drop_near_lines(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert {i: (r.n_removed, r.kept) for i, r in found.items()} == near_lines(rows)
+    assert found[1].kept == "ac" and found[2].kept == "\n \nx y z" and found[3].kept == "w x y\nd"
