@@ -62,38 +62,69 @@ def scan_secrets(documents: DataFrame, dictionary: dict[str, int], least_log10:
 
 
 def guess_dictionary(documents: DataFrame, words: int = DICTIONARY_WORDS) -> dict[str, int]:
-    """The rank of each frequent word of all texts, letters only and in lower case."""
+    """The rank of each frequent word of all distinct texts, letters only and in lower case.
+
+    Words are cleaned before they are counted and ranked.  What a base pattern or a credential context
+    gives as a value is not counted, so a secret that is often repeated does not become easy to guess.
+    """
     ship(documents.sparkSession)
-    counted = documents.select("text").mapInArrow(_word_counts, "word binary, n long")
+    texts = documents.where("text is not null").select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("text"), "text").alias("h2"), "text")
+    counted = texts.dropDuplicates(["h1", "h2"]).select("text").mapInArrow(_word_counts, "word string, n long")
     top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words).collect()
-    ranks: dict[str, int] = {}
-    for row in top:
-        word = "".join(c for c in bytes(row.word).decode().lower() if c.isalpha())
-        if len(word) > 1:
-            ranks.setdefault(word, len(ranks) + 1)
-    return ranks
+    return {row.word: rank for rank, row in enumerate(top, 1)}
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for w in split_words(batch.column(0), lower=True, size=4 << 20):
+        for w in split_words(_without_values(batch.column(0)), lower=True, size=4 << 20):
             if len(w):
                 distinct, example, number = unique_spans(w.data, w.begin, w.end)
                 counts = np.bincount(number, minlength=len(distinct))
+                found = binary_column(w.data, w.begin[example], w.end[example]).to_pylist()
+                cleaned: dict[str, int] = {}
+                for token, n in zip(found, counts.tolist()):
+                    word = _letters(token.decode())
+                    if len(word) > 1:
+                        cleaned[word] = cleaned.get(word, 0) + n
                 yield pa.RecordBatch.from_arrays(
-                    [binary_column(w.data, w.begin[example], w.end[example]), pa.array(counts)], ["word", "n"]
+                    [pa.array(cleaned.keys(), pa.string()), pa.array(cleaned.values(), pa.int64())], ["word", "n"]
                 )
 
 
+def _letters(token: str) -> str:
+    token = token.lower()
+    return token if token.isalpha() else "".join(c for c in token if c.isalpha())
+
+
+def _without_values(texts: pa.Array) -> pa.Array:
+    """The texts with blanks for the values that the patterns and contexts find."""
+    rows = np.flatnonzero(_likely(texts).to_numpy(zero_copy_only=False))
+    if not len(rows):
+        return texts
+    out = texts.to_pylist()
+    for i in rows.tolist():
+        text, parts, at = out[i], [], 0
+        values = [m.span(group) for _, pattern, group, least in _BASE for m in pattern.finditer(text) if m.end(group) - m.start(group) >= least]
+        for begin, end in sorted(values + [m.span(1) for m in _CONTEXT.finditer(text)]):
+            if end > at:
+                parts.append(text[at : max(at, begin)])
+                at = end
+        out[i] = " ".join([*parts, text[at:]])
+    return pa.array(out, texts.type)
+
+
+def _likely(texts: pa.Array) -> pa.Array:
+    found = pc.or_(pc.match_substring_regex(texts, _LIKELY), pc.match_substring_regex(texts, _LIKELY_BASE))
+    return pc.fill_null(found, False)
+
+
 def _scan(batches: Iterator[pa.RecordBatch], dictionary: dict[str, int], least_log10: float) -> Iterator[pa.RecordBatch]:
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("log10_guesses", pa.float64())]))
     cost = GuessCost(dictionary)
     for batch in batches:
         texts = batch.column(1)
-        likely = pc.match_substring_regex(texts, _LIKELY)
-        likely = pc.fill_null(pc.or_(likely, pc.match_substring_regex(texts, _LIKELY_BASE)), False)
         found: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-        for i in np.flatnonzero(likely.to_numpy(zero_copy_only=False)).tolist():
+        for i in np.flatnonzero(_likely(texts).to_numpy(zero_copy_only=False)).tolist():
             found[i] = spans_of(texts[i].as_py(), cost, least_log10)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["doc_id", "spans"])
 

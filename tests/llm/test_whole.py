@@ -8,6 +8,7 @@ import pytest
 from daymark.llm import lm_trie
 from daymark.llm.line_dedup import drop_near_lines
 from daymark.llm.queries import QUERIES
+from daymark.llm.secret_scan import guess_dictionary, scan_secrets
 
 from .conftest import WORD
 from .test_operators import _trigrams, by_doc, sha
@@ -83,3 +84,19 @@ def test_short_lines_lose_repeats_and_near_ones(spark):
     found = by_doc(drop_near_lines(spark.createDataFrame(rows, "doc_id long, text string")))
     assert {i: (r.n_removed, r.kept) for i, r in found.items()} == near_lines(rows)
     assert found[1].kept == "ac" and found[2].kept == "\n \nx y z" and found[3].kept == "w x y\nd"
+
+
+def test_repeated_secrets_stay_costly(spark):
+    value = "kqzjvwxplm"
+    texts = [f"the passphrase is {value} again" for _ in range(40)]  # copies
+    texts += [f"note {i}: pwd: {value}!2024, token={value}" for i in range(40)]  # other texts around it
+    texts += ["zu Hause, sagt sie", "Zu hause! sagt er", "(zu) HAUSE"] + ["kopie kopie kopie"] * 9 + [None, ""]
+    documents = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    dictionary = guess_dictionary(documents)
+    assert value not in dictionary and {"passphrase", "pwd", "token", "hause"} <= set(dictionary)
+    # marks and case do not part a word, and a copied text counts once
+    assert dictionary["hause"] < dictionary["sagt"] and dictionary["kopie"] > dictionary["token"]
+    assert sorted(guess_dictionary(documents.where("doc_id >= 80"), 3)) == ["hause", "kopie", "zu"]
+    found = by_doc(scan_secrets(documents, dictionary))
+    assert all([s.kind for s in found[i].spans] == ["guess"] for i in range(40))
+    assert all([s.kind for s in found[i].spans] == ["guess", "assign"] for i in range(40, 80))
