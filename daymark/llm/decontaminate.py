@@ -27,25 +27,31 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, least: int = 10, cost
     Returns ``doc_id``, ``key`` and ``text_key`` (the document row), ``item_id``, ``score``,
     ``n_words`` and ``n_substituted`` of the overlap, and ``begin`` and ``item_begin`` (word places).
     An overlap counts if it scores ``least``, or three fifths of its item's words if that is less.
-    Null and empty texts, items and texts with fewer words than a mask is wide have no seeds and
-    match nothing.  item_id names an item (null items are left out); repeated document rows are reported once.
+    Each mask is used where its own width fits; items shorter than the widest mask are also met as a whole,
+    word by word.  Null and empty texts and items have no seeds and match nothing.  item_id names an item, a
+    null one too; repeated document rows are reported once.
     """
-    width = max(max(mask) for mask in MASKS) + 1
+    widths = [max(mask) + 1 for mask in MASKS]
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), _words("text").alias("item")).where(
-        (F.size("item") >= width) & F.col("item_id").isNotNull()
+        F.size("item") > 0
     ).distinct()
+    short = items.select(F.size("item").alias("n")).where(F.col("n") < max(widths)).distinct()
+    lengths = sorted(row.n for row in short.collect())
+    width = min(widths + lengths)
     seeds = items.select("item_id", "item", F.explode(F.expr(f"sequence(0, size(item) - {width})")).alias("item_at"))
-    seeds = seeds.select("item_id", "item_at", F.explode(_seeds("item", "item_at")).alias("seed"))
+    seeds = seeds.select("item_id", "item_at", F.explode(_seeds("item", "item_at", lengths, whole=True)).alias("seed"))
+    seeds = seeds.where("seed is not null")
     if seeds.count() <= BROADCAST_SEEDS:
         seeds = F.broadcast(seeds)
 
     texts = documents.select(*row_key(documents), F.col("doc_id").cast("long").alias("doc_id"), "text")
     worded = texts.select("key", "text_key", _words("text").alias("words")).where(F.size("words") >= width)
     placed = worded.select("*", F.explode(F.expr(f"sequence(0, size(words) - {width})")).alias("at"))
-    hits = placed.select("key", "text_key", "at", F.explode(_seeds("words", "at")).alias("seed")).join(seeds, "seed")
+    hits = placed.select("key", "text_key", "at", F.explode(_seeds("words", "at", lengths)).alias("seed")).join(seeds, "seed")
     # hits on one diagonal are one candidate; words stay behind until it is clear which texts are needed
     hits = hits.select("key", "text_key", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    laid = hits.join(items, "item_id").groupBy("key", "text_key").agg(
+    named = items.withColumnRenamed("item_id", "name")
+    laid = hits.join(named, hits["item_id"].eqNullSafe(named["name"])).groupBy("key", "text_key").agg(
         F.collect_set(F.struct("item_id", "shift", "item")).alias("laid")
     )
     tried = texts.dropDuplicates(["key", "text_key"]).join(laid, ["key", "text_key"]).select(
@@ -82,11 +88,18 @@ def _words(text: str) -> Column:
     return F.transform(parts, lambda word: F.xxhash64(word))
 
 
-def _seeds(words: str, at: str) -> Column:
-    """One seed for each mask, from the words at its places."""
-    return F.array(
-        *(F.xxhash64(F.lit(number), *(F.get(words, F.col(at) + place) for place in mask)) for number, mask in enumerate(MASKS))
-    )
+def _seeds(words: str, at: str, lengths: list[int], whole: bool = False) -> Column:
+    """One seed for each mask, from the words at its places, and one for each length of a short item, from all its words.
+
+    Null where there are too few words; with ``whole``, a short item's seed is of all the words there are.
+    """
+    room = F.size(words) - F.col(at)
+
+    def seed(number: int, places, fits: Column) -> Column:
+        return F.when(fits, F.xxhash64(F.lit(number), *(F.get(words, F.col(at) + place) for place in places)))
+
+    masked = [seed(number, mask, room > max(mask)) for number, mask in enumerate(MASKS)]
+    return F.array(*masked, *(seed(-n, range(n), (room == n) & (F.size(words) == n) if whole else room >= n) for n in lengths))
 
 
 def _best_run(agree: Column, cost: int) -> Column:

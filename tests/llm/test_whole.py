@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from daymark.llm import lm_trie
+from daymark.llm.decontaminate import find_leaks
 from daymark.llm.line_dedup import drop_near_lines
 from daymark.llm.queries import QUERIES
 from daymark.llm.secret_scan import guess_dictionary, scan_secrets
@@ -100,3 +101,16 @@ def test_repeated_secrets_stay_costly(spark):
     found = by_doc(scan_secrets(documents, dictionary))
     assert all([s.kind for s in found[i].spans] == ["guess"] for i in range(40))
     assert all([s.kind for s in found[i].spans] == ["guess", "assign"] for i in range(40, 80))
+
+
+def test_leaks_of_short_and_unnamed_items(spark):
+    items = [(1, "What is the capital of France"), (2, "a b c d e f g"), (3, "forty-two"), (None, " ".join(f"n{i}" for i in range(12))), (4, "")]
+    texts = {
+        10: "Q: what is the capital of France? Paris", 11: "what is the capital of Spain", 12: "a b x d e f g", 13: "Forty two",
+        14: "so " + " ".join(f"n{i}" for i in range(12)), 15: "", 16: "forty and two",
+    }
+    documents = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = find_leaks(documents, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.score, r.begin, r.item_begin) for r in found.collect()} == {
+        (10, 1, 6, 1, 0), (13, 3, 2, 0, 0), (14, None, 12, 1, 0)
+    }
