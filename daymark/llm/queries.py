@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from daymark.llm.bpe_transducer import build_lexicon, decode_documents, encode_documents
 from daymark.llm.chat_format import format_chats, read_back
+from daymark.llm.conversation_repair import damaged, repair_conversations, summaries
 from daymark.llm.decontaminate import find_leaks
+from daymark.llm.hard_negatives import mine_hard_negatives
 from daymark.llm.jaccard_join import similar_groups
 from daymark.llm.line_dedup import drop_near_lines
 from daymark.llm.lm_trie import score, train
@@ -19,6 +21,7 @@ from daymark.llm.token_files import read_token_files, write_token_files
 
 DOCUMENTS = "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT"
 BENCHMARK = "item_id BIGINT, text STRING"
+EMBEDDINGS = "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT"
 CONVERSATIONS = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -116,11 +119,24 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summaries(repair_conversations(damaged(table(spark, sf_dir, "conversations", CONVERSATIONS))))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings", EMBEDDINGS)
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(
+        rows.select("vec_id", moved.alias("label"), F.col("embedding").alias("vector"), (F.col("vec_id") % 100 == 0).alias("is_anchor"))
+    )
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_decontaminate, op2_substring_dedup, op3_token_files, op4_quality_rules, op5_lm_trie, op6_jaccard_join,
-        op7_line_dedup, op8_chat_format, op9_bpe_transducer, op10_secret_scan,
+        op7_line_dedup, op8_chat_format, op9_bpe_transducer, op10_secret_scan, op11_conversation_repair,
+        op12_hard_negatives,
     )
 }
 ORACLES: dict[str, str] = {
@@ -138,6 +154,25 @@ ORACLES: dict[str, str] = {
         n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
         FROM d LEFT JOIN kept USING (r) LEFT JOIN n USING (r)""",
+    "op12_hard_negatives": """
+        WITH e AS (
+            SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL
+                AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT a.r AS a, a.vec_id AS anchor_id, b.r AS b, b.vec_id, a.label = b.label AS same,
+                CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+            FROM e AS a JOIN e AS b ON a.r <> b.r AND a.vec_id % 100 = 0),
+        p AS (
+            SELECT * FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id NULLS LAST, b) <= 5)
+        SELECT p.anchor_id, p.vec_id AS positive_id,
+            CAST(row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.vec_id NULLS LAST, s.b) AS INTEGER) AS rank,
+            s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.a = p.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score
+        QUALIFY rank <= 5""",
     "op8_chat_format": r"""
         WITH c AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
