@@ -13,6 +13,7 @@ from daymark.llm.hard_negatives import mine_hard_negatives
 from daymark.llm.jaccard_join import similar_groups
 from daymark.llm.line_dedup import drop_near_lines
 from daymark.llm.lm_trie import score, train
+from daymark.llm.minhash_forest import near_copies
 from daymark.llm.quality_rules import rate_quality
 from daymark.llm.secret_scan import guess_dictionary, scan_secrets
 from daymark.llm.shared import shared_folder
@@ -131,12 +132,17 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_copies(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
 QUERIES = {
     query.__name__: query
     for query in (
         op1_decontaminate, op2_substring_dedup, op3_token_files, op4_quality_rules, op5_lm_trie, op6_jaccard_join,
         op7_line_dedup, op8_chat_format, op9_bpe_transducer, op10_secret_scan, op11_conversation_repair,
-        op12_hard_negatives,
+        op12_hard_negatives, op13_minhash_forest,
     )
 }
 ORACLES: dict[str, str] = {
