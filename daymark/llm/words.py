@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -19,28 +20,10 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_BYTE_VALUE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-
-
-class _Powers:
-    """Powers of an odd number and of its inverse modulo 2**64, as many as were needed so far."""
-
-    def __init__(self, base: int):
-        self.base, self.inverse = base, pow(base, -1, 2**64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            size = 1 << (n - 1).bit_length()
-            for name, base in (("up", self.base), ("down", self.inverse)):
-                steps = np.full(size, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
-        return self.up[:n], self.down[:n]
-
-
-_BYTE_POWERS = _Powers(0x9E3779B97F4A7C15)
-_WORD_POWERS = _Powers(0xD1342543DE82EF95)
+#: Words up to this long are hashed eight bytes at a time, all words at once; longer ones one by one.
+_LANES_BYTES = 512
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_KEPT = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -90,21 +73,48 @@ class Words:
         return self.data[self.begin[i] : self.end[i]].tobytes()
 
 
-def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of each byte span."""
-    up, down = _BYTE_POWERS.of(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUE[data] * up[:-1], out=sums[1:])
-    return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A hash of each byte span; another one for another seed.
+
+    Every eight bytes are scattered together with what came before, so that no two spans of
+    repeated patterns have one hash by construction.
+    """
+    length = np.asarray(end - begin, np.int64)
+    out = mix(length.astype(np.uint64) * _FACTOR + np.uint64(seed))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eights = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    long = length > _LANES_BYTES
+    rows = np.flatnonzero(~long & (length > 0))
+    done = 0
+    while len(rows):
+        lane = eights[begin[rows] + done] & _KEPT[np.minimum(length[rows] - done, 8)]
+        out[rows] = mix(out[rows] * _FACTOR + lane)
+        done += 8
+        rows = rows[length[rows] > done]
+    for i in np.flatnonzero(long).tolist():
+        digest = blake2b(data[begin[i] : end[i]], digest_size=8, salt=seed.to_bytes(16, "little"))
+        out[i] = int.from_bytes(digest.digest(), "little")
+    return out
 
 
 def sequence_hashes(hashes: np.ndarray, begin: np.ndarray, length: np.ndarray | int) -> np.ndarray:
-    """A hash of each run of ``length`` words that starts at ``begin``."""
-    up, down = _WORD_POWERS.of(len(hashes) + 1)
-    sums = np.zeros(len(hashes) + 1, np.uint64)
-    np.cumsum(hashes * up[:-1], out=sums[1:])
+    """A hash of each run of ``length`` words that starts at ``begin``, from hashes of runs of 1, 2, 4, 8 ... words."""
+    at = np.array(begin, np.int64)
     length = np.asarray(length, np.int64)
-    return mix((sums[begin + length] - sums[begin]) * down[begin] + length.astype(np.uint64))
+    out = mix(np.broadcast_to(length, at.shape).astype(np.uint64) * _FACTOR + np.uint64(1))
+    runs, span, most = hashes, 1, int(length.max()) if length.size and len(at) else 0
+    while span <= most:
+        if not length.ndim:
+            if length & span:
+                out, at = mix(out * _FACTOR + runs[at]), at + span
+        else:
+            rows = np.flatnonzero(length & span)
+            out[rows] = mix(out[rows] * _FACTOR + runs[at[rows]])
+            at[rows] += span
+        if 2 * span <= most:
+            runs = mix(runs[:-span] * _FACTOR + runs[span:])
+        span *= 2
+    return out
 
 
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
