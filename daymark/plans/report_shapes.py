@@ -52,7 +52,7 @@ def busiest_people(counts: DataFrame, name: str, count: str, n: int, nulls: str
 
 def people_in_top_ranks(counts: DataFrame, name: str, count: str, k: int, nulls: str = "last") -> DataFrame:
     """Names whose count ranks at most ``k``, with all ties."""
-    return rank_at_most(counts, count, k, nulls=nulls).select(name, count)
+    return rank_at_most(counts.select(name, count), count, k, as_=None, nulls=nulls)
 
 
 def highest_total_label(
