@@ -170,7 +170,7 @@ def flt_ilike(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""SELECT p_partkey, p_name, p_type FROM part
-           WHERE 1=1 AND p_name ILIKE 'R%' AND p_type = 'PROMO' OR p_name LIKE '%bolt%'""")
+           WHERE p_name ILIKE 'R%' AND p_type = 'PROMO' OR p_name LIKE '%bolt%'""")
 def flt_and_or_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefixed = starts_with_any_case("p_name", "R") & (F.col("p_type") == "PROMO")
     return (

@@ -112,7 +112,7 @@ def rep_active_inactive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rep_bucket_argmax_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     prefixed, ring = starts_with_any_case("p_name", "B"), contains_text("p_name", "ring")
-    label = bucket_label([(prefixed, "start_w_b"), (ring, "contains_ring")], "T_T")
+    label = bucket_label([(prefixed, "start_w_b"), (ring, "contains_ring")], "other")
     parts = (
         table(spark, sf_dir, "part")
         .filter(prefixed | ring)
@@ -156,25 +156,26 @@ ORACLES = {
         SELECT o_orderpriority AS title FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
         WHERE l_orderkey IS NULL""",
     "rep_rank3_in_category": """
-        SELECT full_name, f_cnt FROM (
-          SELECT concat(s_name, ' ', n_name) AS full_name, count(DISTINCT p_name) AS f_cnt,
-                 rank() OVER (ORDER BY count(DISTINCT p_name) DESC) AS r
+        WITH counts AS (
+          SELECT concat(s_name, ' ', n_name) AS full_name, count(DISTINCT p_name) AS f_cnt
           FROM part JOIN lineitem ON l_partkey = p_partkey JOIN supplier ON s_suppkey = l_suppkey
-          JOIN nation ON n_nationkey = s_nationkey WHERE p_type = 'PROMO' GROUP BY 1) WHERE r <= 3""",
+          JOIN nation ON n_nationkey = s_nationkey WHERE p_type = 'PROMO' GROUP BY 1),
+        third AS (SELECT min(f_cnt) AS least FROM (SELECT f_cnt FROM counts ORDER BY f_cnt DESC LIMIT 3))
+        SELECT full_name, f_cnt FROM counts, third WHERE f_cnt >= least""",
     "rep_active_inactive": """
         SELECT n_name AS city, count(CASE WHEN o_orderstatus = 'F' THEN o_orderkey END) AS cnt_active,
                count(CASE WHEN o_orderstatus = 'O' THEN o_orderkey END) AS cnt_inactive
         FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
         GROUP BY 1 ORDER BY 3 DESC, 1""",
     "rep_bucket_argmax_hours": """
-        SELECT city_group, "Category", rent_hours FROM (
-          SELECT city_group, p_type AS "Category", CAST(sum(hours) AS BIGINT) AS rent_hours,
-                 row_number() OVER (PARTITION BY city_group ORDER BY sum(hours) DESC, p_type) AS rn
-          FROM (SELECT p_type, CASE WHEN p_name ILIKE 'B%' THEN 'start_w_b'
-                                    WHEN p_name LIKE '%ring%' THEN 'contains_ring' ELSE 'T_T' END AS city_group,
-                       date_part('day', l_shipdate - o_orderdate) * 24
-                         + date_part('hour', l_shipdate - o_orderdate) AS hours
-                FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
-                WHERE 1=1 AND p_name ILIKE 'B%' OR p_name LIKE '%ring%') AS spans
-          GROUP BY 1, 2) WHERE rn = 1""",
+        WITH bucket AS (
+          SELECT p_partkey, p_type, 'start_w_b' AS city_group FROM part WHERE p_name ILIKE 'B%'
+          UNION ALL SELECT p_partkey, p_type, 'contains_ring' FROM part WHERE p_name LIKE '%ring%' AND p_name NOT ILIKE 'B%'),
+        totals AS (
+          SELECT city_group, p_type, CAST(sum(24 * date_part('day', l_shipdate - o_orderdate)
+                   + date_part('hour', l_shipdate - o_orderdate)) AS BIGINT) AS rent_hours
+          FROM bucket JOIN lineitem ON l_partkey = p_partkey JOIN orders ON o_orderkey = l_orderkey GROUP BY 1, 2),
+        placed AS (
+          SELECT *, row_number() OVER (PARTITION BY city_group ORDER BY rent_hours DESC, p_type) AS place FROM totals)
+        SELECT city_group, p_type AS "Category", rent_hours FROM placed WHERE place = 1""",
 }
