@@ -2,7 +2,7 @@
 
 Every step takes one run date or many; a backfill is one Spark job per step.  All steps
 can be repeated for a date: bronze and silver replace that date's directory, the warehouse
-replaces that date's rows.
+replaces that date's rows.  The warehouse is a database or a folder of Parquet tables.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from daymark.plans.snapshot import Database
-from daymark.sinks import clear_dates, land_dates, load_table, observed
+from daymark.plans.snapshot import Warehouse
+from daymark.sinks import FolderWarehouse, clear_dates, land_dates, load_table, observed
 from daymark.sources import FEED_SCHEMA, read_landed_feed, read_parquet, reject_empty_records
-from daymark.sources.feed import all_null, on_dates, run_dates
+from daymark.sources.feed import all_null, is_on, on_dates, run_dates
 
 
 @dataclass(frozen=True)
@@ -35,7 +35,7 @@ def land(feed: DataFrame, bronze: str, dates: str | Sequence[str], date_col: str
 
     A date without records is empty afterwards, whatever it held before.
     """
-    wanted = on_dates(feed, dates, date_col).unionByName(feed.filter(F.col(date_col).isNull()))
+    wanted = feed.filter(is_on(dates, date_col) | F.col(date_col).isNull())
     return land_dates(wanted, bronze, dates, date_col)
 
 
@@ -83,7 +83,7 @@ def refine(
 def load(
     spark: SparkSession,
     silver: str,
-    warehouse: Database,
+    warehouse: Warehouse,
     table: str,
     dates: str | Sequence[str],
     date_col: str = "date",
@@ -92,9 +92,13 @@ def load(
     """Load the dates' silver rows, replacing those dates in the warehouse.
 
     ``full_history`` appends the whole silver table instead, so earlier dates are there
-    once per run.
+    once per run; in a folder, once for each list of run dates, however often it is run.
     """
     rows = read_parquet(spark, silver)
+    if isinstance(warehouse, FolderWarehouse):
+        if full_history:
+            return warehouse.append(rows, table, "history of " + " ".join(d.isoformat() for d in run_dates(dates)))["rows"]
+        return warehouse.replace_dates(on_dates(rows, dates, date_col), table, date_col, dates)["rows"]
     if full_history:
         return load_table(rows, warehouse.url, table, warehouse.properties, replace=False)
     listed = [d.isoformat() for d in run_dates(dates)]
@@ -109,7 +113,7 @@ def run_dated_feed(
     dates: str | Sequence[str],
     bronze: str,
     silver: str,
-    warehouse: Database | None = None,
+    warehouse: Warehouse | None = None,
     table: str = "out_of_stock",
     schema: StructType = FEED_SCHEMA,
     date_col: str = "date",

@@ -5,12 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zlib
+from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from daymark.plans.snapshot import Database
-from daymark.sinks import overwrite_table
+from daymark.sinks import content_sum, overwrite_table
 
 _EMBEDDED_URL = "jdbc:derby:memory:daymark;create=true"
 _EMBEDDED_DRIVER = "org.apache.derby.iapi.jdbc.AutoloadedDriver"
@@ -70,20 +72,12 @@ def database(spark: SparkSession) -> Database:
     Without one, a session with one local JVM uses an embedded in-memory database.  That
     is visible in its own process only, so on a cluster the setting is required.
     """
-    found = database_if_any(spark)
-    if found is None:
-        raise RuntimeError("set spark.daymark.jdbc.url: an in-memory database is not shared by executors")
-    return found
-
-
-def database_if_any(spark: SparkSession) -> Database | None:
-    """As ``database``, but None where there is none to use."""
     url = spark.conf.get("spark.daymark.jdbc.url", None)
     if url:
         named = {k: spark.conf.get(f"spark.daymark.jdbc.{k}", None) for k in ("user", "password", "driver")}
         return Database(url, {**_READ_OPTIONS, **{k: v for k, v in named.items() if v}})
     if not is_local(spark):
-        return None
+        raise RuntimeError("set spark.daymark.jdbc.url: an in-memory database is not shared by executors")
     spark._jvm.java.lang.System.setProperty(
         "derby.stream.error.file", f"{tempfile.gettempdir()}/daymark-derby.log"
     )
@@ -111,3 +105,29 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def all_dates(feed_rows: DataFrame) -> list[str]:
     """The calendar days of a feed, as run dates; one row per day reaches the driver."""
     return [r.date.isoformat() for r in feed_rows.select("date").distinct().collect() if r.date is not None]
+
+
+def contents(frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows and content sum of each frame: ``table_name``, ``n_rows``, ``content``."""
+    found = [
+        df.agg(F.count(F.lit(1)).alias("n_rows"), content_sum(df).alias("content")).select(F.lit(name).alias("table_name"), "n_rows", "content")
+        for name, df in frames.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def contents_sql(names: Iterable[str]) -> str:
+    """The same over the given tables of these names."""
+    return " UNION ALL ".join(_contents_sql(name) for name in names)
+
+
+def _contents_sql(name: str) -> str:
+    cells = []
+    for column, kind in (field.split() for field in SCHEMAS[name].split(", ")):
+        text = f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f')" if kind == "TIMESTAMP_NTZ" else f"CAST({column} AS VARCHAR)"
+        cells.append(f"CASE WHEN {column} IS NULL THEN '~' ELSE length({text}) || ':' || {text} END")
+    row = " || ".join(cells)
+    return (
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows,"
+        f" CAST(coalesce(sum(CAST('0x' || substr(md5({row}), 1, 15) AS BIGINT)), 0) AS VARCHAR) AS content FROM {name}"
+    )

@@ -1,6 +1,6 @@
 """Writes.  Every function states its mode and returns the number of rows written."""
 
-from daymark.sinks.audit import observed
+from daymark.sinks.audit import Written, audited, content_sum, observed
 from daymark.sinks.files import (
     append_parquet,
     land_json_by_date,
@@ -15,10 +15,15 @@ from daymark.sinks.files import (
     write_csv_day,
 )
 from daymark.sinks.relational import append_table, load_table, overwrite_table
+from daymark.sinks.warehouse import FolderWarehouse
 
 __all__ = [
+    "FolderWarehouse",
+    "Written",
     "append_parquet",
     "append_table",
+    "audited",
+    "content_sum",
     "land_json_by_date",
     "load_table",
     "observed",
