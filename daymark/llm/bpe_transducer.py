@@ -12,7 +12,6 @@ from __future__ import annotations
 import heapq
 import json
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -24,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daymark.llm.memo import Memo
-from daymark.llm.shared import ship
+from daymark.llm.shared import most_frequent, send_files, shared_folder, ship, write_file
 from daymark.llm.words import binary_column, chunks, gather, unique_spans
 
 #: Frequent words in the lexicon; bounds its file and the driver's part.
@@ -273,17 +272,16 @@ def build_lexicon(documents: DataFrame, tokenizer_path: str, words: int = LEXICO
     """
     spark = documents.sparkSession
     ship(spark)
-    counted = documents.select("text").mapInArrow(_span_counts, "word binary, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words).collect()
+    folder = shared_folder(spark, "lexicon")
+    top = most_frequent(documents.select("text").mapInArrow(_span_counts, "word binary, n long"), words, folder)
     bpe = byte_bpe(tokenizer_path)
     pieces = {p for row in top for p in _pieces(bytes(row.word), bpe) if isinstance(p, bytes)}
     lexicon = sorted(pieces)
     flat, lengths = bpe.merge(*_spans(lexicon)) if lexicon else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     arrays = Transducer.build(lexicon, np.split(flat, np.cumsum(lengths)[:-1]) if lexicon else [])
     name = f"lexicon-{uuid.uuid4().hex}.i64"
-    path = os.path.join(tempfile.mkdtemp(prefix="daymark-"), name)
-    arrays.tofile(path)
-    spark.sparkContext.addFile(path)
+    write_file(f"{folder}/{name}", arrays.tobytes())
+    send_files(spark, [f"{folder}/{name}"])
     return name
 
 
@@ -302,18 +300,29 @@ def encode_documents(documents: DataFrame, tokenizer_path: str, lexicon: str) ->
 
 def decode_documents(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """``encoded`` with ``decoded``, the text of its ``ids``; bytes that are not UTF-8 become U+FFFD."""
+    ship(encoded.sparkSession)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
+    return encoded.mapInArrow(lambda batches: _decode(batches, tokenizer_path), f"{fields}, decoded string")
 
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = byte_bpe(tokenizer_path)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                rows = batch.slice(lo, 512)
-                ids = rows.column(rows.schema.get_field_index("ids"))
-                texts = [bpe.decode(np.frombuffer(x.as_buffer(), "<u4")).decode("utf-8", "replace") for x in ids]
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*rows.schema.names, "decoded"])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)
-    return encoded.mapInArrow(decoded, f"{fields}, decoded string")
+def round_trip(documents: DataFrame, tokenizer_path: str, lexicon: str) -> DataFrame:
+    """``encode_documents`` and ``decode_documents`` of its ids, in one worker process for each task instead of two."""
+    ship(documents.sparkSession)
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(
+        lambda batches: _decode(_encode(batches, tokenizer_path, lexicon), tokenizer_path),
+        "doc_id long, n_tokens long, ids binary, decoded string",
+    )
+
+
+def _decode(batches: Iterator[pa.RecordBatch], tokenizer_path: str) -> Iterator[pa.RecordBatch]:
+    bpe = byte_bpe(tokenizer_path)
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 512):
+            rows = batch.slice(lo, 512)
+            ids = rows.column(rows.schema.get_field_index("ids"))
+            texts = [bpe.decode(np.frombuffer(x.as_buffer(), "<u4")).decode("utf-8", "replace") for x in ids]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(texts, pa.string())], [*rows.schema.names, "decoded"])
 
 
 def _encode(batches: Iterator[pa.RecordBatch], tokenizer_path: str, lexicon: str) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm.bpe_transducer import build_lexicon, decode_documents, encode_documents
+from daymark.llm.bpe_transducer import build_lexicon, round_trip
 from daymark.llm.chat_format import format_chats, read_back
 from daymark.llm.conversation_repair import damaged, repair_conversations, summaries
 from daymark.llm.decontaminate import find_leaks
@@ -95,8 +95,7 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, path = table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json")
-    encoded = encode_documents(documents, path, build_lexicon(documents, path))
-    return decode_documents(encoded, path).select(
+    return round_trip(documents, path, build_lexicon(documents, path)).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

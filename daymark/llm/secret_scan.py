@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.shared import ship
+from daymark.llm.shared import most_frequent, shared_folder, ship
 from daymark.llm.words import binary_column, split_words, unique_spans
 
 #: Words of the guessing dictionary; bounds what the driver collects and sends to tasks.
@@ -70,7 +70,7 @@ def guess_dictionary(documents: DataFrame, words: int = DICTIONARY_WORDS) -> dic
     ship(documents.sparkSession)
     texts = documents.where("text is not null").select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("text"), "text").alias("h2"), "text")
     counted = texts.dropDuplicates(["h1", "h2"]).select("text").mapInArrow(_word_counts, "word string, n long")
-    top = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(words).collect()
+    top = most_frequent(counted, words, shared_folder(documents.sparkSession, "dictionary"))
     return {row.word: rank for rank, row in enumerate(top, 1)}
 
 

@@ -40,6 +40,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def most_frequent(counted: DataFrame, most: int, folder: str) -> list:
+    """The ``most`` frequent words of ``word``, ``n``, summed first: rows in order of n, then word.
+
+    The driver gets the histogram of the sums, which has a row for each different one (at most the square root
+    of twice their total), and then the rows that are frequent enough, not every task's best.
+    """
+    counted = staged(counted.groupBy("word").agg(F.sum("n").alias("n")), folder, "counts")
+    cutoff, upto = 1, 0
+    for row in sorted(counted.groupBy("n").agg(F.count("*").alias("words")).collect(), key=lambda row: -row.n):
+        cutoff, upto = row.n, upto + row.words
+        if upto >= most:
+            break
+    return counted.where(F.col("n") >= cutoff).orderBy(F.desc("n"), "word").limit(most).collect()
+
+
 def row_key(documents: DataFrame) -> list:
     """Two columns that tell a row's document apart: its id (null: the least long) and a hash of its text."""
     return [
@@ -58,6 +73,18 @@ def write_file(uri: str, data: bytes) -> None:
         out.write(data)
 
 
+def map_file(uri: str):
+    """The bytes of a file of the shared folder: mapped where the folder is mounted, else read."""
+    import numpy as np
+    from pyarrow.fs import FileSystem, LocalFileSystem
+
+    fs, path = FileSystem.from_uri(uri)
+    if isinstance(fs, LocalFileSystem):
+        return np.memmap(path, np.uint8, "r").view(np.ndarray)
+    with fs.open_input_file(path) as source:
+        return np.frombuffer(source.read(), np.uint8)
+
+
 def send_files(spark: SparkSession, uris: list[str]) -> None:
     """Let every machine fetch these files once; tasks find them by name through SparkFiles."""
     for uri in uris:
