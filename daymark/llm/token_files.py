@@ -43,15 +43,18 @@ def write_token_files(documents: DataFrame, tokenizer_path: str, end_id: int, fo
     """Encode all texts in ascending doc_id order into files below ``folder``; returns the manifest.
 
     The tokenizer must drop white space, as its words are encoded apart from each other.  Null
-    texts are empty, each document ends with ``end_id``.  Null ids come first; rows with equal ids
-    come in the order of their texts.  Manifest rows: part, path, n_docs, n_ids, in that order.
+    texts are empty, each document ends with ``end_id``.  Null ids come first; rows with equal ids,
+    of which any number may be, come in the order of a hash of their texts.  Manifest rows: part, path, n_docs, n_ids, in that order.
     """
     spark = documents.sparkSession
     ship(spark)
+    rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    order = ["doc_id", F.xxhash64("text")]
     ordered = (
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-        .repartitionByRange(partitions(spark), "doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        rows.withColumn("row", F.monotonically_increasing_id())  # equal rows may lie in several tasks
+        .repartitionByRange(partitions(spark), *order, "row")
+        .sortWithinPartitions(*order, "row")
+        .select("doc_id", "text")
     )
     manifest = ordered.mapInArrow(
         lambda batches: _write(batches, tokenizer_path, end_id, folder), "part int, path string, n_docs long, n_ids long"
