@@ -74,7 +74,11 @@ class VoteModel:
 
 
 def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> VoteModel:
-    """Expectation-maximisation over distinct rows of votes and how many documents have each."""
+    """Expectation-maximisation over distinct rows of votes and how many documents have each.
+
+    It starts from rules that are mostly right, and ten texts' worth of that start stays in every estimate; nothing
+    else bounds them, so a rule that misfires on many good texts is found to do so.
+    """
     n = votes.shape[1]
     model = VoteModel(0.9, np.full(n, 0.02), np.full(n, 0.4))
     down, up = (votes == -1).astype(float), (votes == 1).astype(float)
@@ -86,10 +90,8 @@ def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> VoteModel:
             low, high = weight @ down, weight @ up
             return (low + 10 * start) / (low + high + 10)  # ten texts' worth of the starting point
 
-        # rules are written to be right: a good text seldom gets a vote for 'poor'
-        if_good = np.clip(share(good, 0.02), 1e-4, 0.05)
-        if_poor = np.clip(share(poor, 0.4), 0.1, 0.999)
-        new = VoteModel(float(np.clip((good.sum() + 9) / (counts.sum() + 10), 0.05, 0.999)), if_good, if_poor)
+        if_good, if_poor = share(good, 0.02), share(poor, 0.4)
+        new = VoteModel(float((good.sum() + 9) / (counts.sum() + 10)), if_good, if_poor)
         change = max(abs(new.good - model.good), np.abs(if_good - model.poor_if_good).max(), np.abs(if_poor - model.poor_if_poor).max())
         model = new
         if change < 1e-7:
@@ -97,21 +99,24 @@ def fit(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> VoteModel:
     return model
 
 
-def rate_quality(documents: DataFrame, least: float = 0.5) -> DataFrame:
+def rate_quality(documents: DataFrame, least: float = 0.5, carry: tuple[str, ...] = ()) -> DataFrame:
     """Every row of ``documents`` with its features, votes, ``quality`` and verdict.
 
     Returns ``doc_id``, ``text_key`` (a hash of the text), the columns of FEATURES, ``base_failed``,
-    ``votes`` (one per rule, in the order of ``rules()``), ``quality`` and ``kept``.  A null text
-    has no words and fails the base.  Features follow from a text alone, so equal texts get equal verdicts.
+    ``votes`` (one per rule, in the order of ``rules()``), ``quality``, ``kept`` and ``carried``, a struct of the
+    columns in ``carry``.  A null text has no words and fails the base.  Features follow from a text
+    alone, so equal texts get equal verdicts.
     """
     spark = documents.sparkSession
     ship(spark)
     folder = shared_folder(spark, "quality")
     fields = ", ".join(f"{name} long" for name in FEATURES)
     rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text"
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text",
+        F.struct(F.lit(None).cast("int").alias("none"), *(documents[name] for name in carry)).alias("carried"),
     )
-    measured = rows.mapInArrow(_features, f"doc_id long, text_key long, {fields}")
+    carried = rows.schema["carried"].dataType.simpleString()
+    measured = rows.mapInArrow(_features, f"doc_id long, text_key long, carried {carried}, {fields}")
     votes = list(rules().values())
     code = sum(((vote + 1) * 3**i for i, vote in enumerate(votes)), F.lit(0)).cast("int")
     voted = staged(measured.withColumn("votes", F.array(*votes)).withColumn("pattern", code), folder, "voted")
@@ -128,7 +133,7 @@ def rate_quality(documents: DataFrame, least: float = 0.5) -> DataFrame:
         voted.join(known, "pattern")
         .withColumn("base_failed", base_failed)
         .withColumn("kept", ~base_failed & (F.col("quality") >= least))
-        .select("doc_id", "text_key", *FEATURES, "base_failed", "votes", "quality", "kept")
+        .select("doc_id", "text_key", *FEATURES, "base_failed", "votes", "quality", "kept", "carried")
     )
 
 
@@ -154,8 +159,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             }
             rows = batch.slice(w.lo, w.texts)
             yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), *(pa.array(np.asarray(measures[f], np.int64)) for f in FEATURES)],
-                ["doc_id", "text_key", *FEATURES],
+                [rows.column(0), rows.column(1), rows.column(3), *(pa.array(np.asarray(measures[f], np.int64)) for f in FEATURES)],
+                ["doc_id", "text_key", "carried", *FEATURES],
             )
 
 

@@ -19,9 +19,9 @@ def shingles(text, gram=4):
     return frozenset([tuple(words)] if 0 < len(words) < gram else [tuple(words[i : i + gram]) for i in range(len(words) - gram + 1)])
 
 
-def exact(docs, percent=80):
+def exact(docs, percent=80, gram=4):
     """Size and component of each row, and the links between different sets, by comparing all sets that share a shingle."""
-    sets = [shingles(text) for _, text in docs]
+    sets = [shingles(text, gram) for _, text in docs]
     distinct = {s: k for k, s in enumerate(dict.fromkeys(s for s in sets if s))}
     having = {}
     for s, k in distinct.items():
