@@ -36,8 +36,8 @@ def drop_near_lines(
     allowed where the longer line has ``near_words`` words, one of a character where both have fewer words and
     the longer has ``near_words`` characters, else lines must have equal words.  White space
     within lines counts as one blank.  Lines are judged on the input: an earlier line
-    counts even if it goes itself.  Rows with the same doc_id tie: equal lines at the same
-    place of them both stay.
+    counts even if it goes itself.  Rows with the same doc_id and line are in the order of a hash of their
+    texts; lines of equal rows share a fate.
     """
     spark = documents.sparkSession
     folder = shared_folder(spark, "lines")
@@ -104,13 +104,12 @@ def drop_near_lines(
     ).distinct()
 
     gone = distinct.join(earlier, distinct["first"] == earlier["place"], "left").select(
-        "h1", "h2", F.col("first.key").alias("first_key"), F.col("first.line").alias("first_line"), "copies",
-        F.col("place").isNotNull().alias("near"),
+        "h1", "h2", "first", "copies", F.col("place").isNotNull().alias("near"),
     )
-    gone = staged(gone.where("near or copies > 1").select("h1", "h2", "first_key", "first_line", "near"), folder, "gone")
+    gone = staged(gone.where("near or copies > 1").select("h1", "h2", "first", "near"), folder, "gone")
     removed = (
         lines.select("key", "text_key", "line", "h1", "h2").join(gone, ["h1", "h2"])
-        .where("near or key <> first_key or line <> first_line")
+        .where("near or first < struct(key, line, text_key)")
         .groupBy("key", "text_key").agg(F.collect_set("line").alias("removed"))
     )
     kept = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains(F.coalesce("removed", F.array().cast("array<int>")), i))
