@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from daymark.llm.bpe_transducer import build_lexicon, encode_documents
+from daymark.llm.bpe_transducer import build_lexicon, round_trip
 from daymark.llm.decontaminate import find_leaks
 from daymark.llm.jaccard_join import similar_groups
 from daymark.llm.line_dedup import drop_near_lines
@@ -31,8 +31,8 @@ def _rows(found: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Leave out what the rules' posterior, or the base limits, reject.  Verdicts depend on the text alone."""
-    kept = rate_quality(docs).where("kept").select(F.col("text_key").alias(_ROW[1])).distinct()
-    return _keyed(docs).join(kept, _ROW[1], "left_semi").select(*docs.columns)
+    kept = rate_quality(docs, carry=tuple(docs.columns)).where("kept")
+    return kept.select(*(F.col("carried").getField(name).alias(name) for name in docs.columns))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,9 +62,10 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids: ``doc_id``, ``n_tokens``, ``ids`` (little-endian unsigned 32-bit numbers)."""
+    """Token ids and what they decode to: ``doc_id``, ``n_tokens``, ``ids`` (little-endian unsigned 32-bit), ``decoded_sha256``."""
     path = tokenizer("byte_bpe_50k.json")
-    return encode_documents(docs, path, build_lexicon(docs, path))
+    found = round_trip(docs, path, build_lexicon(docs, path))
+    return found.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
