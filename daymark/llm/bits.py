@@ -51,15 +51,22 @@ def unpack(words: np.ndarray, width: int, count: int) -> np.ndarray:
     return take(words, width, np.arange(count))
 
 
+_BYTES = _U(0x0101010101010101)
+_TOPS = _U(0x8080808080808080)
+#: The place of the set bit number r of each byte, at r * 256 + byte.
+_IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [8] * 8)[r] for r in range(8) for byte in range(256)], np.int64)
+
+
 def _select_in_word(word: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The place of the set bit number ``rank`` of each word."""
-    octets = np.ascontiguousarray(word).view(np.uint8).reshape(-1, 8)
-    upto = np.cumsum(_POPCOUNT[octets], axis=1)
-    octet = (upto <= rank[:, None]).sum(axis=1)
-    rows = np.arange(len(word))
-    left = rank - np.where(octet > 0, upto[rows, octet - 1], 0)
-    bits = np.unpackbits(octets[rows, octet][:, None], axis=1, bitorder="little")
-    return octet * 8 + (np.cumsum(bits, axis=1) <= left[:, None]).sum(axis=1)
+    """The place of the set bit number ``rank`` of each word: by counts of all its bytes at once, then within a byte."""
+    x = word - ((word >> _U(1)) & _U(0x5555555555555555))
+    x = (x & _U(0x3333333333333333)) + ((x >> _U(2)) & _U(0x3333333333333333))
+    upto = ((x + (x >> _U(4))) & _U(0x0F0F0F0F0F0F0F0F)) * _BYTES  # each byte: set bits up to its end
+    rank = rank.astype(_U)
+    whole = ((((rank * _BYTES) | _TOPS) - upto) & _TOPS) >> _U(7)  # one for each byte that ends before the bit
+    bits = ((whole * _BYTES) >> _U(56)) * _U(8)
+    left = rank - (((upto << _U(8)) >> bits) & _U(255))
+    return bits.astype(np.int64) + _IN_BYTE[((left << _U(8)) | ((word >> bits) & _U(255))).astype(np.int64)]
 
 
 class EliasFano:
@@ -113,21 +120,47 @@ class EliasFano:
         high = (self._one(index) - index).astype(_U)
         return (high << _U(self.width)) | take(self.low, self.width, index)
 
+    def pair(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers at ``index`` and at the place after it."""
+        index = np.asarray(index, np.int64)
+        if not len(index):
+            return np.zeros(0, _U), np.zeros(0, _U)
+        one = self._one(index)
+        above = (self.high[one >> 6] >> (one & 63).astype(_U)) >> _U(1)  # ones higher in the word
+        near = above > 0
+        following = np.empty(len(index), np.int64)
+        lowest = above[near]
+        lowest &= ~lowest + _U(1)
+        following[near] = one[near] + np.frexp(lowest.astype(np.float64))[1]
+        following[~near] = self._one(index[~near] + 1)
+        found = ((at - i).astype(_U) << _U(self.width) | take(self.low, self.width, i) for at, i in ((one, index), (following, index + 1)))
+        return tuple(found)
+
     def successor(self, wanted: np.ndarray) -> np.ndarray:
         """The place of the first number that is not below ``wanted``; ``count`` if there is none."""
+        return self._search(wanted)[0]
+
+    def find(self, wanted: np.ndarray) -> np.ndarray:
+        """The place of the first number that equals ``wanted``, or -1."""
+        place, met = self._search(wanted)
+        return np.where(met, place, -1)
+
+    def _search(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``successor``, and whether it is the number itself."""
         wanted = np.asarray(wanted, _U)
-        out = np.full(len(wanted), self.count, np.int64)
+        out, met = np.full(len(wanted), self.count, np.int64), np.zeros(len(wanted), bool)
         if not self.count or not len(wanted):
-            return out
+            return out, met
         last = int(self.get(np.array([self.count - 1]))[0])
         inside = np.flatnonzero(wanted <= _U(last))
         if not len(inside):
-            return out
+            return out, met
         x = wanted[inside]
         high = (x >> _U(self.width)).astype(np.int64)
-        lo = np.where(high > 0, self._zero(np.maximum(high - 1, 0)) - (high - 1), 0)
-        hi = self._zero(high) - high
-        target = x & _U((1 << self.width) - 1)
+        end = self._zero(high)
+        hi = end - high
+        lo = np.where(high > 0, self._zero_before(high, end) - (high - 1), 0)
+        target, top = x & _U((1 << self.width) - 1), hi.copy()
         while True:  # halve the runs of equal high bits; most hold one or two numbers
             open_ = np.flatnonzero(lo < hi)
             if not len(open_):
@@ -137,4 +170,20 @@ class EliasFano:
             lo[open_] = np.where(below, mid + 1, lo[open_])
             hi[open_] = np.where(below, hi[open_], mid)
         out[inside] = lo
+        same = np.flatnonzero(lo < top)
+        met[inside[same]] = take(self.low, self.width, lo[same]) == target[same]
+        return out, met
+
+    def _zero_before(self, high: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The zero before the one at ``end``, which is number ``high``: mostly one of the bits just below it."""
+        shift = (end & 63).astype(_U)
+        below = ~self.high[end >> 6] & ((_U(1) << shift) - _U(1))  # zeros lower in the word
+        near = below > 0
+        out = np.empty(len(end), np.int64)
+        # the highest of them: a float's exponent, after clearing lower bits that could round it up
+        top = below[near]
+        top &= ~(top >> _U(1))
+        out[near] = (end[near] & ~63) + np.frexp(top.astype(np.float64))[1] - 1
+        far = np.flatnonzero(~near)
+        out[far] = self._zero(np.maximum(high[far] - 1, 0))
         return out

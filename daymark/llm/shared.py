@@ -35,6 +35,14 @@ def staged(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove(folder: str, *names: str, spark: SparkSession) -> None:
+    """Delete tables that ``staged`` wrote, once what was read from them is a table itself."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for name in names:
+        at = path(f"{folder}/{name}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def partitions(spark: SparkSession) -> int:
     """Tasks of an exchange; the session's setting grows with the data."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

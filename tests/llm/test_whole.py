@@ -15,7 +15,7 @@ from .conftest import WORD
 from .test_operators import _trigrams, by_doc, sha
 
 
-@pytest.mark.parametrize("shard_rows", [3_000_000, 7_000])
+@pytest.mark.parametrize("shard_rows", [3_000_000, 7_000, 100])
 def test_lm_scores_use_every_trigram(spark, sf_dir, given, monkeypatch, shard_rows):
     monkeypatch.setattr(lm_trie, "_SHARD_ROWS", shard_rows)
     held, tokens, one, two, starts = _trigrams(given[1])
@@ -76,6 +76,14 @@ def test_lines_of_every_length(spark, sf_dir, given):
     assert {i: (r.n_removed, r.kept_sha256) for i, r in found.items()} == {i: (n, sha(kept)) for i, (n, kept) in near_lines(given[1]).items()}
 
 
+def test_lines_of_one_id_are_ordered_too(spark):
+    rows = [(5, "one line of words\nx"), (5, "one line of words\ny"), (5, "one line of words\nz"), (None, "q r s t u"), (None, "q r s t u\nv")]
+    found = drop_near_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.n_removed for r in found if r.doc_id == 5) == [0, 1, 1]
+    assert sorted(r.n_removed for r in found if r.doc_id is None) == [0, 1]
+    assert all(r.n_removed == 0 for r in drop_near_lines(spark.createDataFrame(rows[:1] * 3, "doc_id long, text string")).collect())
+
+
 def test_short_lines_lose_repeats_and_near_ones(spark):
     texts = [
         "Les.\nab\n7\nKontakt 🙂\none two three four five six seven\na b c d", "Les.\nac\n7\nKontact 🙂\none two three 4 five six seven\na b c",
