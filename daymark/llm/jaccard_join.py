@@ -14,8 +14,10 @@ Texts with one and the same shingle set are one *node*; what follows is about di
    their sets are intersected.
 3. Verified links make components.  A shingle whose nodes are by then all in one component
    has no link left to find that would change a component.  For all others, nodes of
-   different components are proposed to further hubs, and then every pair of them that passes the
-   filters is verified, so that no link between two components is lost.
+   different components are proposed to further hubs.  What is then left is joined exactly: of a similar pair the
+   smaller set has its first shared shingle early enough for most of it to come after (it is *strong*
+   there).  So nobody meets where none is strong; else those outside a shingle's largest component
+   meet the others there, and a group of copies is never paired with itself.
 
 A pair is verified once.  Groups of copies of any size cost links in proportion to their size.
 """
@@ -36,7 +38,7 @@ from pyspark.sql.window import Window
 
 from daymark.llm.components import components
 from daymark.llm.packed import from_planes, planes
-from daymark.llm.shared import partitions, row_key, send_files, shared_folder, ship, staged, write_file
+from daymark.llm.shared import partitions, remove, row_key, send_files, shared_folder, ship, staged, write_file
 from daymark.llm.words import mix, shingle_sets, signed, split_words, sums_by_text
 
 #: One-byte shingle counters, at least and at most, as powers of two; they lie in SEGMENTS files.
@@ -96,13 +98,13 @@ def similar_groups(documents: DataFrame, percent: int = 75, gram: int = 5) -> Da
     first = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     tried = _verified(first, nodes, texts, percent, gram, folder, "links_0")
     roots = components(tried.where("similar"), folder, "roots_0")
-    left, pairs_left = _open(postings, roots, folder, "open_0")
+    left, pairs_left = _open(postings, roots, percent, folder, "open_0")
     turn = 0
     while pairs_left:
         turn += 1
-        # hubs first while shingles join many nodes; in the end every pair that is still possible
+        # hubs first while shingles join many nodes; in the end whatever is still possible
         last = turn > HUB_TURNS or pairs_left <= 8 * left.count()
-        pairs = _all_pairs(left, percent) if last else _to_hubs(left, turn, percent)
+        pairs = _rest(left, percent) if last else _to_hubs(left, turn, percent)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         new = _verified(pairs, nodes, texts, percent, gram, folder, f"links_{turn}")
@@ -111,7 +113,7 @@ def similar_groups(documents: DataFrame, percent: int = 75, gram: int = 5) -> Da
             roots = components(tried.where("similar"), folder, f"roots_{turn}")
         if last:
             break
-        left, pairs_left = _open(left.select("token", "node", "n", "pos"), roots, folder, f"open_{turn}")
+        left, pairs_left = _open(left.select("token", "node", "n", "pos"), roots, percent, folder, f"open_{turn}")
 
     placed = nodes.join(roots, "node", "left").select(
         "node", "class_id", F.coalesce("root", "node").alias("root")
@@ -141,7 +143,7 @@ class Counters(NamedTuple):
         return (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
-        """The count of each shingle, 255 for more."""
+        """How often each shingle occurs: counts to 127, then four steps to a doubling."""
         files = _open_counters(self)
         bucket = self.bucket(hashes)
         shift = self.bits - (SEGMENTS - 1).bit_length()
@@ -154,6 +156,14 @@ class Counters(NamedTuple):
         return out
 
 
+_MOST = np.uint32(2**32 - 1)
+
+
+def _steps(counts: np.ndarray) -> np.ndarray:
+    """Counts in a byte each, in order: exact to 127, then four steps to a doubling, so that hot shingles differ too."""
+    return np.where(counts < 128, counts, 128 + 4 * np.log2(np.maximum(counts, 128) / 128.0)).astype(np.uint8)
+
+
 @lru_cache(maxsize=1)
 def _open_counters(counters: Counters) -> list[np.ndarray | None]:
     found: list[np.ndarray | None] = [None] * SEGMENTS
@@ -198,7 +208,7 @@ def _count_shingles(texts: DataFrame, gram: int, bits: int, folder: str) -> Coun
         buckets, counts = np.unique(np.concatenate(held), return_counts=True)
         cuts = np.searchsorted(buckets, np.arange(SEGMENTS + 1) * size)
         blobs = [
-            planes(np.diff(buckets[x:y], prepend=k * size).astype(np.uint32)) + np.minimum(counts[x:y], 255).astype(np.uint8).tobytes()
+            planes(np.diff(buckets[x:y], prepend=k * size).astype(np.uint32)) + planes(counts[x:y].astype(np.uint32))
             for k, (x, y) in enumerate(zip(cuts[:-1], cuts[1:]))
         ]
         return pa.RecordBatch.from_arrays([pa.array(range(SEGMENTS), pa.int32()), pa.array(blobs, pa.binary())], ["segment", "blob"])
@@ -208,14 +218,13 @@ def _count_shingles(texts: DataFrame, gram: int, bits: int, folder: str) -> Coun
         for batch in batches:
             for segment, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
                 blob = memoryview(blob.as_buffer())
-                n = len(blob) // 5
+                n = len(blob) // 8
                 place = np.cumsum(from_planes(blob, n, np.uint32), dtype=np.int64)
-                counts = sums.setdefault(segment, np.zeros(size, np.uint8))
-                more = counts[place].astype(np.int64) + np.frombuffer(blob, np.uint8, n, 4 * n)
-                counts[place] = np.minimum(more, 255)
+                counts = sums.setdefault(segment, np.zeros(size, np.uint32))
+                counts[place] += np.minimum(from_planes(blob[4 * n :], n, np.uint32), _MOST - counts[place])
         names = [f"counters-{uuid.uuid4().hex}.u8" for _ in sums]
         for name, counts in zip(names, sums.values()):
-            write_file(f"{uri}/{name}", counts.tobytes())
+            write_file(f"{uri}/{name}", _steps(counts).tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(names, pa.string())], ["segment", "name"])
 
     blobs = texts.select("text").mapInArrow(counted, "segment int, blob binary")
@@ -316,7 +325,9 @@ def _meet(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
     new[1:] = (token[1:] != token[:-1]) | (node[1:] != node[:-1])
     token, node, n, pos = token[new], node[new], n[new], pos[new]
     run = np.cumsum(np.diff(token, prepend=~token[:1]) != 0) - 1
-    several = np.bincount(run)[run] > 1 if len(run) else np.zeros(0, bool)
+    several = np.zeros(0, bool)
+    if len(run):
+        several = (np.bincount(run) > 1)[run] & (np.bincount(run, _strong(n, pos, percent)) > 0)[run]
     token, node, n, pos, run = token[several], node[several], n[several], pos[several], run[several]
     if not len(token):
         return
@@ -377,6 +388,15 @@ def _filters(n, m, pos_n, pos_m, percent: int):
     return (100 * short >= percent * long_) & (most >= _needed(n, m, percent))
 
 
+def _strong(n, pos, percent: int):
+    """Whether a set can be the smaller one of a similar pair whose first shared shingle is at ``pos``.
+
+    All that such a pair shares comes from there on, and is ``2 percent / (100 + percent)`` of the smaller set at least.
+    Of a similar pair one is strong, so sets that share a shingle are never paired where none is.
+    """
+    return (100 + percent) * (n - pos) >= 2 * percent * n
+
+
 def _sql_filters(percent: int):
     """The same two filters over columns n1, n2, pos1, pos2."""
     most = F.least(F.expr("n1 - pos1"), F.expr("n2 - pos2"))
@@ -385,18 +405,23 @@ def _sql_filters(percent: int):
     )
 
 
-def _open(postings: DataFrame, roots: DataFrame, folder: str, name: str) -> tuple[DataFrame, int]:
-    """The postings of shingles that nodes of several components share, and how many pairs they make."""
+def _open(postings: DataFrame, roots: DataFrame, percent: int, folder: str, name: str) -> tuple[DataFrame, int]:
+    """The postings of shingles that nodes of several components share, and how many pairs of them are to be looked at."""
     placed = staged(
         postings.join(roots, "node", "left").select("token", "node", "n", "pos", F.coalesce("root", "node").alias("root")),
         folder, f"{name}_placed",
     )
-    spread = placed.groupBy("token").agg(
-        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").cast("double").alias("k")
+    strong = F.count_if(_strong(F.col("n").cast("long"), F.col("pos"), percent))
+    parts = placed.groupBy("token", "root").agg(F.count("*").alias("k"), strong.alias("s"))
+    spread = parts.groupBy("token").agg(
+        F.max(F.struct("k", "root")).alias("main"), F.sum("k").cast("double").alias("k"), F.sum("s").alias("s"), F.count("*").alias("roots")
     )
-    spread = staged(spread.where("lo < hi").select("token", "k"), folder, f"{name}_tokens")
-    pairs = spread.agg(F.sum(F.expr("k * (k - 1) / 2"))).first()[0] or 0
-    return staged(placed.join(spread.select("token"), "token", "left_semi"), folder, name), int(pairs)
+    spread = staged(spread.where("roots > 1 and s > 0").select("token", "main", "k"), folder, f"{name}_tokens")
+    pairs = spread.agg(F.sum(F.expr("(k - main.k) * k"))).first()[0] or 0
+    open_ = placed.join(spread.select("token", F.col("main.root").alias("main")), "token")
+    left = staged(open_.withColumn("minor", F.col("root") != F.col("main")).drop("main"), folder, name)
+    remove(folder, f"{name}_placed", f"{name}_tokens", spark=left.sparkSession)
+    return left, int(pairs)
 
 
 def _to_hubs(left: DataFrame, turn: int, percent: int) -> DataFrame:
@@ -417,13 +442,16 @@ def _to_hubs(left: DataFrame, turn: int, percent: int) -> DataFrame:
     return pairs.where((F.col("root") != F.col("root2")) & _sql_filters(percent)).select("a", "b").distinct()
 
 
-def _all_pairs(left: DataFrame, percent: int) -> DataFrame:
-    """Every pair of nodes of different components that a shingle and the filters leave possible."""
-    one = left.select("token", F.col("node").alias("a"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("root").alias("root1"))
-    other = left.select("token", F.col("node").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("root").alias("root2"))
-    return (
-        one.join(other, "token").where((F.col("root1") < F.col("root2")) & _sql_filters(percent)).select("a", "b").distinct()
+def _rest(left: DataFrame, percent: int) -> DataFrame:
+    """Sets of different components that share a shingle and pass the filters, the smaller one being strong.
+
+    One of the two is outside the shingle's largest component, so a group of copies is not paired with itself.
+    """
+    one = left.where("minor").select(
+        "token", F.col("node").alias("a"), F.col("n").alias("n1"), F.col("pos").alias("pos1"), F.col("root").alias("root1")
     )
+    other = left.select("token", F.col("node").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("root").alias("root2"))
+    return one.join(other, "token").where((F.col("root1") != F.col("root2")) & _sql_filters(percent)).select("a", "b").distinct()
 
 
 def _verified(
@@ -439,8 +467,9 @@ def _verified(
     left = filtered.where("possible").select("a", "b")
     ends = left.select(F.col("a").alias("node")).unionByName(left.select(F.col("b").alias("node"))).distinct()
     ends = staged(nodes.join(ends, "node", "left_semi").select("node", "example.key", "example.text_key"), folder, f"{name}_ends")
+    # the same plan at every size, not a broadcast while there are few
     found = staged(
-        texts.select("key", "text_key", "text").join(ends, ["key", "text_key"])
+        texts.select("key", "text_key", "text").join(ends.hint("merge"), ["key", "text_key"])
         .dropDuplicates(["key", "text_key"]).select("node", "text"),
         folder, f"{name}_texts",
     )
@@ -449,7 +478,9 @@ def _verified(
     both = left.join(one, "a").join(other, "b").select("a", "b", "text_a", "text_b")
     checked = both.mapInArrow(lambda batches: _intersected(batches, percent, gram), "a long, b long, similar boolean")
     rest = filtered.where("not possible").select("a", "b", F.lit(False).alias("similar"))
-    return staged(checked.unionByName(rest), folder, name)
+    found = staged(checked.unionByName(rest), folder, name)
+    remove(folder, f"{name}_filtered", f"{name}_ends", f"{name}_texts", spark=texts.sparkSession)
+    return found
 
 
 def _possible(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
