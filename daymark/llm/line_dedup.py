@@ -44,8 +44,10 @@ def drop_near_lines(
     carried = F.struct(F.lit(None).alias("none"), *(documents[name] for name in carry)).alias("carried")
     texts = documents.select(*row_key(documents), F.col("doc_id").cast("long").alias("doc_id"), "text", carried)
     placed = texts.select("key", "text_key", F.posexplode(F.split("text", "\n")).alias("line", "content"))
-    hashed = placed.select("key", "text_key", "line", _words("content").alias("words"), "content")
-    hashed = hashed.withColumn("n", F.size("words")).where(F.col("n") >= least_words)
+    # a filter on the words would be pushed below them and split every line twice
+    worded = placed.where(F.col("content").rlike(r"[^\x20\x09-\x0D]")) if least_words > 0 else placed
+    hashed = worded.select("key", "text_key", "line", _words("content").alias("words"), "content").withColumn("n", F.size("words"))
+    hashed = hashed.where(F.col("n") >= least_words) if least_words > 1 else hashed
     hashed = hashed.withColumn("chars", F.when(F.col("n") < near_words, _chars("content")))
     lines = staged(
         hashed.select(
