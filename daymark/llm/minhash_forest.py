@@ -29,12 +29,12 @@ from daymark.llm.components import components
 from daymark.llm.shared import partitions, row_key, shared_folder, ship, staged
 from daymark.llm.words import mix, shingle_sets, signed, split_words, sums_by_text
 
-TREES, DEPTH = 8, 6
+TREES, DEPTH = 12, 6
 #: Following nodes of an order that a node is proposed to.
-NEIGHBOURS = 3
+NEIGHBOURS = 4
 #: Equal minhashes of a label, and of a signature, that a proposal needs; sets of a similarity of 0.8 miss
 #: the first in 1.7 % of the trees, and the second once in 40,000 pairs.
-LABEL_LEAST, SIGNATURE_LEAST = 3, 27
+LABEL_LEAST, SIGNATURE_LEAST = 3, 41
 _BUFFER = 1 << 17
 _DRAWN = np.random.Generator(np.random.PCG64(20260131)).integers(0, 2**64, (3, TREES * DEPTH), dtype=np.uint64)
 _XOR, _TIMES = _DRAWN[0], _DRAWN[1] | np.uint64(1)
