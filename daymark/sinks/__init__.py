@@ -1,6 +1,6 @@
 """Writes.  Every function states its mode and returns the number of rows written."""
 
-from daymark.sinks.audit import Written, audited, content_sum, observed
+from daymark.sinks.audit import Written, audited, content_sum, counted_content, observed
 from daymark.sinks.files import (
     append_parquet,
     land_json_by_date,
@@ -24,6 +24,7 @@ __all__ = [
     "append_table",
     "audited",
     "content_sum",
+    "counted_content",
     "land_json_by_date",
     "load_table",
     "observed",

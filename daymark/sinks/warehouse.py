@@ -59,9 +59,9 @@ class FolderWarehouse:
             return spark.createDataFrame([], version.schema)
         return spark.read.schema(version.schema).parquet(*paths)
 
-    def replace(self, df: DataFrame, table: str, **metrics: Column) -> dict:
-        """Replace the table, schema included."""
-        path, seen = self._write(df, table, metrics)
+    def replace(self, df: DataFrame, table: str, with_content: bool = False, **metrics: Column) -> dict:
+        """Replace the table, schema included; ``with_content`` also returns the content sum of the rows."""
+        path, seen = self._write(df, table, metrics, with_content=with_content)
         self._publish(df.sparkSession, table, _nullable(df.schema), [(path, None)], [])
         return seen
 
@@ -114,10 +114,10 @@ class FolderWarehouse:
     def _at(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
-    def _write(self, df: DataFrame, table: str, metrics: dict, writer=lambda out: out.write) -> tuple[str, dict]:
+    def _write(self, df: DataFrame, table: str, metrics: dict, writer=lambda out: out.write, with_content: bool = False) -> tuple[str, dict]:
         path = f"data-{uuid.uuid4().hex}"
         wanted = {"rows": F.count(F.lit(1)), **metrics}
-        return path, observed(df, lambda out: writer(out).parquet(f"{self._at(table)}/{path}"), **wanted)
+        return path, observed(df, lambda out: writer(out).parquet(f"{self._at(table)}/{path}"), with_content, **wanted)
 
     def _publish(self, spark: SparkSession, table: str, schema: StructType, parts, runs) -> None:
         """Make these data folders the table, in one rename, and remove those that are no longer of use."""

@@ -185,6 +185,24 @@ def test_sums_are_taken_while_writing(spark, tmp_path):
     assert csv.content == want and overwrite_parquet(df, str(tmp_path / "q")).content is None
 
 
+def test_sums_need_no_string_or_object_per_row(spark, tmp_path):
+    """Each text is made once a row, in generated code, and what is added up are numbers."""
+    from daymark.sinks import counted_content
+
+    rows = [(i, f"n{i}", i / 7, dt.datetime(2024, 1, 1, 0, 0, i % 60, i)) for i in range(500)] + [(None, None, None, None)] * 3
+    df = frame(spark, rows, "_digest0 int, name string, price double, at timestamp")  # a name that the sum would take
+    want = df.agg(content_sum(df)).first()[0]
+    found = counted_content(df.repartition(3), "n", "content")
+    assert tuple(found.first()) == (503, want)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "sum(cast" not in plan.lower() and "partial_sum((shiftright(digest" in plan
+    path = str(tmp_path / "t")
+    written = overwrite_parquet(df, path, content=True)
+    assert (written, written.content) == (503, want)
+    back = spark.read.parquet(path)
+    assert back.columns == df.columns and sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
 # ---------------------------------------------------------------- as of a date
 
 
