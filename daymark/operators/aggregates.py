@@ -8,16 +8,24 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from daymark.operators.sizes import fits_broadcast
+from daymark.operators.sizes import fits_broadcast, tasks_by_input
 
 
-def count_distinct_by(df: DataFrame, keys: str | Sequence[str], value: str, as_: str) -> DataFrame:
+def count_distinct_by(
+    df: DataFrame, keys: str | Sequence[str], value: str, as_: str, few_repeats: bool = False
+) -> DataFrame:
     """Exact ``COUNT(DISTINCT value)`` per group.
 
     Spark first removes repeats on (keys, value), shuffled on both, and only then counts,
     so one group that owns a large share of the rows is spread over all tasks.
+
+    ``few_repeats`` says that most pairs of (keys, value) occur once.  Collapsing them before the
+    shuffle would hold nearly all rows of a task in memory (twice, where they already lie by
+    ``value``), so they are shuffled as they are, into tasks whose number grows with the input.
     """
     names = [keys] if isinstance(keys, str) else list(keys)
+    if few_repeats:
+        df = df.select(*names, value).repartition(tasks_by_input(df), *names, value)
     return df.groupBy(*names).agg(F.count_distinct(F.col(value)).alias(as_))
 
 

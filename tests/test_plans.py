@@ -162,3 +162,24 @@ def test_no_python_in_any_plan(spark, sf_dir):
         plan = initial_plan(run(spark, sf_dir))
         assert "Python" not in plan and "Pandas" not in plan, name
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_pairs_that_rarely_repeat_are_shuffled_before_they_are_collapsed(spark, sf_dir):
+    """No task holds the pairs of its share of a join, and tasks of the count grow with the input."""
+    from daymark.operators import count_distinct_by
+    from daymark.operators.sizes import tasks_by_input
+    from daymark.queries import QUERIES
+
+    rows = [("a", 1), ("a", 1), ("a", None), ("b", None), (None, 2), (None, 2), (None, 3), ("a", 2)]
+    df = spark.createDataFrame(rows, "name string, value int")
+    found = count_distinct_by(df, "name", "value", "n", few_repeats=True)
+    assert sorted(found.collect(), key=str) == sorted(count_distinct_by(df, "name", "value", "n").collect(), key=str)
+    assert {r.name: r.n for r in found.collect()} == {"a": 2, "b": 0, None: 2}
+
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    one = tasks_by_input(lines, 1000)
+    assert one > 1 and tasks_by_input(lines.unionAll(lines), 1000) >= 2 * one - 1
+    plan = QUERIES["rep_top10_distinct_rentals"](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString().splitlines()
+    shuffled = next(i for i, line in enumerate(plan) if "REPARTITION_BY_NUM" in line)
+    joined = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert shuffled < joined and not any("Aggregate" in line for line in plan[shuffled:])
