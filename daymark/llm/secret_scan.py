@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daymark.llm.shared import most_frequent, shared_folder, ship
+from daymark.llm.shared import most_frequent, partitions, shared_folder, ship
 from daymark.llm.words import binary_column, split_words, unique_spans
 
 #: Words of the guessing dictionary; bounds what the driver collects and sends to tasks.
 DICTIONARY_WORDS = 20_000
+#: Slots that texts are hashed to, as a power of two; a text alone in its slot has no copy.  One bit each goes to tasks.
+SLOT_BITS = 27
+_SEGMENT_BITS = 19
 
 # fixed values: the base patterns, the least length of a match (of group 2 for assign)
 BASE = (
@@ -67,16 +71,56 @@ def guess_dictionary(documents: DataFrame, words: int = DICTIONARY_WORDS) -> dic
     Words are cleaned before they are counted and ranked.  What a base pattern or a credential context
     gives as a value is not counted, so a secret that is often repeated does not become easy to guess.
     """
-    ship(documents.sparkSession)
+    spark = documents.sparkSession
+    ship(spark)
     texts = documents.where("text is not null").select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("text"), "text").alias("h2"), "text")
-    counted = texts.dropDuplicates(["h1", "h2"]).select("text").mapInArrow(_word_counts, "word string, n long")
-    top = most_frequent(counted, words, shared_folder(documents.sparkSession, "dictionary"))
+    counts = "word string, n long"
+    # those alone are filtered and counted by one worker of a task
+    alone, others = split_alone(texts, _word_counts, counts)
+    counted = alone.unionByName(others.dropDuplicates(["h1", "h2"]).mapInArrow(_word_counts, counts))
+    top = most_frequent(counted, words, shared_folder(spark, "dictionary"))
     return {row.word: rank for rank, row in enumerate(top, 1)}
 
 
+def split_alone(texts: DataFrame, of_alone: Callable, schema: str) -> tuple[DataFrame, DataFrame]:
+    """What ``of_alone`` makes of the batches of rows (``h1``, ``h2``, ``text``) that are certain to have no copy, and all other rows.
+
+    Only hashes are shuffled to tell.  The fewer slots there are for the rows, the more rows without a
+    copy are among the others; none with a copy is ever among those alone.
+    """
+    spark, bits = texts.sparkSession, SLOT_BITS
+    slots = texts.groupBy(F.col("h1").bitwiseAND(F.lit((1 << bits) - 1)).alias("slot")).agg(F.count("*").alias("n"))
+    met = slots.where("n > 1").select("slot").repartition(partitions(spark), F.shiftright("slot", _SEGMENT_BITS))
+    taken = np.zeros(max(1, 1 << bits >> _SEGMENT_BITS) << (_SEGMENT_BITS - 3), np.uint8)
+    for segment, blob in met.mapInArrow(_bitmaps, "segment long, bits binary").collect():
+        taken[segment << (_SEGMENT_BITS - 3) : (segment + 1) << (_SEGMENT_BITS - 3)] |= np.frombuffer(zlib.decompress(blob), np.uint8)
+    sent = spark.sparkContext.broadcast(taken)
+    alone = texts.mapInArrow(lambda batches: of_alone(_by_slot(batches, sent.value, bits, False)), schema)
+    return alone, texts.mapInArrow(lambda batches: _by_slot(batches, sent.value, bits, True), texts.schema)
+
+
+def _bitmaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bits of the slots in each segment, compressed."""
+    for batch in batches:
+        slots = np.sort(batch.column(0).to_numpy())
+        segments, first = np.unique(slots >> _SEGMENT_BITS, return_index=True)
+        for segment, some in zip(segments.tolist(), np.split(slots, first[1:])):
+            bits = np.zeros(1 << _SEGMENT_BITS, bool)
+            bits[some & ((1 << _SEGMENT_BITS) - 1)] = True
+            blob = zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1)
+            yield pa.RecordBatch.from_arrays([pa.array([segment], pa.int64()), pa.array([blob], pa.binary())], ["segment", "bits"])
+
+
+def _by_slot(batches: Iterator[pa.RecordBatch], taken: np.ndarray, bits: int, met: bool) -> Iterator[pa.RecordBatch]:
+    """The rows whose slot another row has as well (``met``), or has not."""
+    for batch in batches:
+        slot = batch.column(0).to_numpy() & ((1 << bits) - 1)
+        yield batch.filter(pa.array(((taken[slot >> 3] >> (slot & 7)) & 1 == 1) == met))
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for w in split_words(_without_values(batch.column(0)), lower=True, size=4 << 20):
+        for w in split_words(_without_values(batch.column("text")), lower=True, size=4 << 20):
             if len(w):
                 distinct, example, number = unique_spans(w.data, w.begin, w.end)
                 counts = np.bincount(number, minlength=len(distinct))

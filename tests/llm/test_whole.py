@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from daymark.llm import lm_trie
 from daymark.llm.decontaminate import find_leaks
@@ -122,3 +123,19 @@ def test_leaks_of_short_and_unnamed_items(spark):
     assert {(r.doc_id, r.item_id, r.score, r.begin, r.item_begin) for r in found.collect()} == {
         (10, 1, 6, 1, 0), (13, 3, 2, 0, 0), (14, None, 12, 1, 0)
     }
+
+
+@pytest.mark.parametrize("bits", [27, 4])
+def test_texts_without_a_copy_are_not_shuffled(spark, monkeypatch, bits):
+    from daymark.llm import secret_scan
+
+    monkeypatch.setattr(secret_scan, "SLOT_BITS", bits)
+    texts = [f"alone{chr(97 + i // 26)}{chr(97 + i % 26)} word" for i in range(200)] + ["copied text"] * 3 + [None, None, "", ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    keyed = docs.where("text is not null").select(F.xxhash64("text").alias("h1"), F.lit(0).cast("long").alias("h2"), "text")
+    alone, others = ([r.text for r in df.collect()] for df in secret_scan.split_alone(keyed, iter, keyed.schema))
+    assert sorted(alone + others) == sorted(t for t in texts if t is not None)
+    assert {"copied text", ""}.isdisjoint(alone) and others.count("copied text") == 3
+    assert len(others) == (5 if bits == 27 else 205)
+    ranks = guess_dictionary(docs, 3)
+    assert ranks == {"word": 1, "aloneaa": 2, "aloneab": 3} and len(guess_dictionary(docs)) == 203
